@@ -5,21 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queryset.llm import simhash
+from queryset.llm import decontaminate, mixing, simhash, token_files, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_output(_table(spark, sf_dir, "documents"), tokens.default_path())
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix_documents(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_repeats=3)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), radius=4, shingle_words=4)
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=13, percent=5)
+    items = F.array_join(F.array_sort("items"), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict:
     return {
+        "op1_token_files": op1_token_files,
+        "op3_mixing": op3_mixing,
         "op6_simhash": op6_simhash,
+        "op7_decontaminate": op7_decontaminate,
     }
 
 
