@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of words stay (A-Z lowered), others become a space.
 WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: The same words in a text that is not lower-cased yet.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def _words(text: str | None) -> list[bytes]:

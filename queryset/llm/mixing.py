@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from queryset.llm.scratch import written
 
 #: Mean rows of a pattern in one bucket of the seeded order. The cut falls into one bucket, whose rows alone are put in exact order.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 2_000
 
 
 def targets(sizes: dict, weights: dict, max_repeats: int) -> dict:
