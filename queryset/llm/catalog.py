@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queryset.llm import decontaminate, mixing, quality_rules, simhash, token_files, tokens
+from queryset.llm import decontaminate, mixing, quality_rules, simhash, substrings, token_files, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(_table(spark, sf_dir, "documents"), size=20, with_text=False).drop("kept_text")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), radius=4, shingle_words=4)
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -41,6 +45,7 @@ def queries() -> dict:
     return {
         "op1_token_files": op1_token_files,
         "op3_mixing": op3_mixing,
+        "op4_substrings": op4_substrings,
         "op6_simhash": op6_simhash,
         "op7_decontaminate": op7_decontaminate,
         "op10_quality_rules": op10_quality_rules,

@@ -86,11 +86,11 @@ def levels(words: np.ndarray, doc: np.ndarray, rounds: int) -> list[Level]:
 
 
 def owners(stack: list[Level], doc_end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(name, place of the symbol) by window of ``size`` words: of the symbols of the highest level that the window holds, the one with the least name.
+    """(name, place of the symbol) by window of ``size`` words: of the symbols of the highest level that the window holds, the longest, of those the one with the least name.
 
     The choice depends on the window's words only, and neighbouring windows mostly share
-    it. ``doc_end`` is the end of each word's document. Windows that would leave their
-    document have place -1.
+    it. Long symbols are rare ones, so few windows share a name by chance. ``doc_end`` is
+    the end of each word's document. Windows that would leave it have place -1.
     """
     n = len(doc_end)
     at = np.arange(n)
@@ -103,13 +103,15 @@ def owners(stack: list[Level], doc_end: np.ndarray, size: int) -> tuple[np.ndarr
         high = np.cumsum(np.bincount(np.minimum(level.last, n + 1), minlength=n + 2))[todo + size]
         held = high > low
         low, high, here = low[held], high[held], todo[held]
-        order = mix(level.name, 64 + k)
+        names = mix(level.name, 64 + k)
+        words = np.diff(level.start, append=n)  # of a held symbol, as its neighbour is of the same document
+        order = (U(255) - np.clip(words, 1, 255).astype(U)) << U(56) | names >> U(8)
         best = low.copy()
         for step in range(1, int((high - low).max(initial=0))):
             open_ = np.flatnonzero(low + step < high)
             other = low[open_] + step
             less = order[other] < order[best[open_]]
             best[open_[less]] = other[less]
-        name[here], place[here] = order[best], level.start[best]
+        name[here], place[here] = names[best], level.start[best]
         todo = todo[~held]
     return name, place
