@@ -26,6 +26,8 @@ from queryset.llm import recompression
 WORD = r"[^\x20\x09-\x0D]+"
 #: A block of windows in one long: start * 32 + number; a symbol owns at most ``size`` neighbouring windows.
 PACK = 32
+#: Words that one worker compresses at a time; a longer document is taken alone.
+CHUNK_WORDS = 1 << 18
 U = np.uint64
 
 
@@ -37,6 +39,13 @@ def _batch(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
     return words.view(U), np.diff(ends)
 
 
+def _chunks(counts: np.ndarray):
+    """Ranges of rows of about CHUNK_WORDS words."""
+    group = (np.cumsum(counts) - counts) // CHUNK_WORDS
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(counts)]
+    return zip(edges[:-1], edges[1:])
+
+
 def window_hashes(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of the ``size`` words from each place on."""
     mixed, out = recompression.mix(words, 3), np.zeros(len(at), U)
@@ -60,13 +69,18 @@ def _blocks(words: np.ndarray, counts: np.ndarray, size: int, rounds: int):
     return rows, heads - (ends - counts)[rows], long, names[heads], heads
 
 
-def _local_repeats(words, heads, long, ids, starts, names, size) -> np.ndarray:
-    """Blocks of this batch that equal a block at an earlier place of this batch."""
+def _contents(words, heads, long, names, size) -> np.ndarray:
+    """A hash of all words under each block and of its number of windows."""
     content = names ^ recompression.mix(long.astype(U), 7)
-    reach = long + size - 1
+    mixed, reach = recompression.mix(words, 9), long + size - 1
     for k in range(int(reach.max(initial=0))):
         here = np.flatnonzero(k < reach)
-        content[here] = content[here] * recompression.MIX_A + recompression.mix(words[heads[here] + k], 9)
+        content[here] = content[here] * recompression.MIX_A + mixed[heads[here] + k]
+    return recompression.mix(content, 11)
+
+
+def _local_repeats(content, ids, starts) -> np.ndarray:
+    """Blocks of a batch that equal a block at an earlier place of the batch."""
     order = np.lexsort((starts, ids, content))
     same = np.zeros(len(order), bool)
     same[1:] = content[order][1:] == content[order][:-1]
@@ -85,10 +99,18 @@ def _anchors(rows: DataFrame, size: int, rounds: int) -> DataFrame:
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             words, counts = _batch(batch, 2)
-            if not len(words):
+            parts, before = [], 0
+            for a, b in _chunks(counts):
+                n = int(counts[a:b].sum())
+                if n:
+                    part = words[before : before + n]
+                    row, start, long, names, heads = _blocks(part, counts[a:b], size, rounds)
+                    parts.append((row + a, start, long, names, _contents(part, heads, long, names, size)))
+                before += n
+            if not parts:
                 continue
-            row, start, long, names, heads = _blocks(words, counts, size, rounds)
-            settled = _local_repeats(words, heads, long, ids[row], start, names, size)
+            row, start, long, names, content = map(np.concatenate, zip(*parts))
+            settled = _local_repeats(content, ids[row], start)
             # A settled block meets no other any more; its name only spreads the rows.
             names = np.where(settled, recompression.mix(ids[row].view(U) ^ start.astype(U)), names)
             yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(ids[row]), pa.array(tags[row]), pa.array(start * PACK + long), pa.array(settled)], ["name", "id", "tag", "span", "settled"])
@@ -103,18 +125,19 @@ def _windows(rows: DataFrame, size: int, rounds: int) -> DataFrame:
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             words, counts = _batch(batch, 2)
-            base = np.cumsum(counts) - counts
-            lists = batch.column(3)
-            spans = lists.flatten()
-            asked = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(len(ids)), asked)
-            name, span, settled = (spans.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            start, long = span // PACK, np.where(settled, 0, span % PACK)
-            ends = np.cumsum(long)
-            at = np.repeat(base[row] + start - (ends - long), long) + np.arange(int(ends[-1]) if len(ends) else 0)
-            hashes = window_hashes(words, at, size).view(np.int64)
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), pa.array(hashes))
-            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(ids[row]), pa.array(tags[row]), pa.array(span), lists], ["name", "id", "tag", "span", "hashes"])
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            offsets = batch.column(3).offsets.to_numpy()
+            spans = batch.column(3).values
+            for a, b in _chunks(counts):
+                part = spans.slice(offsets[a], offsets[b] - offsets[a])
+                row = np.repeat(np.arange(a, b), np.diff(offsets[a : b + 1]))
+                name, span, settled = (part.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                start, long = span // PACK, np.where(settled, 0, span % PACK)
+                upto = np.cumsum(long)
+                at = np.repeat(ends[row] - ends[a] + start - (upto - long), long) + np.arange(int(upto[-1]) if len(upto) else 0)
+                hashes = window_hashes(words[ends[a] : ends[b]], at, size).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], upto]).astype(np.int32), pa.array(hashes))
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(ids[row]), pa.array(tags[row]), pa.array(span), lists], ["name", "id", "tag", "span", "hashes"])
 
     return rows.select("id", "tag", "hashes", "spans").mapInArrow(run, "name long, id long, tag long, span long, hashes array<long>")
 
