@@ -107,7 +107,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, segment_tokens: in
     """
 
     def run(batches):
-        encode, part = tokens.encoder(vocabulary).encode, TaskContext.get().partitionId()
+        encode, part = tokens.encoder(vocabulary).encode_many, TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         segment, ids, lengths, data, size = 0, [], [], [], 0
 
@@ -116,8 +116,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, segment_tokens: in
             return pa.RecordBatch.from_pylist([{"part": part, "segment": segment, "doc_ids": ids, "doc_tokens": lengths, "n_tokens": size, "codes": image}], schema=_arrow)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                one = encode(text.as_py()) + end
+            for key, one in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                one += end
                 ids.append(key)
                 lengths.append(len(one) // 4)
                 data.append(one)

@@ -14,7 +14,7 @@ import re
 import numpy as np
 
 #: Words kept by one worker; beyond that the table starts anew.
-MAX_WORDS = 400_000
+MAX_WORDS = 800_000
 #: Longer words are encoded each time and not kept.
 MAX_WORD_BYTES = 64
 #: Bytes of new words handed to the library in one call.
@@ -59,8 +59,6 @@ class WordEncoder:
         return [data[4 * a : 4 * b] for a, b in zip(cuts, [*cuts[1:], len(ids)])]
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.ids) + len(words) > MAX_WORDS:
-            self.ids.clear()
         at = 0
         while at < len(words):
             size, end = 0, at
@@ -70,23 +68,49 @@ class WordEncoder:
             self.ids.update(zip(words[at:end], self._encode_joined(words[at:end])))
             at = end
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text; null has none."""
+    def _split(self, text: str | None) -> list[bytes]:
         if not text:
-            return b""
+            return []
         data = text.encode("utf-8", "replace")
         if self.folds and b"<|" not in data:  # else a special token's string might arise
             data = STOP.sub(rb"\1 \2", data.lower())
-        words = data.split()
+        return data.split()
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts; null has none. New words of all texts meet the library together."""
+        out, at = [], 0
+        while at < len(texts):
+            lists, distinct = [], set()
+            while at < len(texts) and len(distinct) < MAX_WORDS // 8:
+                lists.append(self._split(texts[at]))
+                distinct.update(lists[-1])
+                at += 1
+            if len(distinct) > MAX_WORDS // 2 or max(map(len, distinct), default=0) > MAX_WORD_BYTES:
+                out += [self._one(words) for words in lists]
+                continue
+            self._prepare(distinct)
+            ids = self.ids.__getitem__
+            out += [b"".join(map(ids, words)) for words in lists]
+        return out
+
+    def _prepare(self, distinct: set[bytes]) -> None:
+        new = distinct.difference(self.ids)
+        if new:
+            if len(self.ids) + len(new) > MAX_WORDS:
+                self.ids.clear()
+                new = distinct
+            self._learn(list(new))
+
+    def _one(self, words: list[bytes]) -> bytes:
         distinct = set(words)
-        new = [w for w in distinct if w not in self.ids]
-        if len(distinct) > MAX_WORDS // 4 or any(len(w) > MAX_WORD_BYTES for w in new):
+        if len(distinct) > MAX_WORDS // 2 or max(map(len, distinct), default=0) > MAX_WORD_BYTES:
             return self._pieces(words)
-        if new:
-            self._learn(new)
-            self._learn([w for w in distinct if w not in self.ids])  # the table may have started anew
+        self._prepare(distinct)
         return b"".join(map(self.ids.__getitem__, words))
 
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_many([text])[0]
+
     def _pieces(self, words: list[bytes]) -> bytes:
         """A text with very long or very many new words: in slices, without keeping its words."""
         out = []
