@@ -154,11 +154,11 @@ def _removals(docs: DataFrame, size: int, rounds: int) -> DataFrame:
     windows = blocks.select("name", "id", "tag", "span", F.posexplode_outer("hashes").alias("at", "hash"))
     start = F.floor(F.col("span") / PACK) + F.coalesce("at", F.lit(0))
     windows = windows.withColumn("start", start)
-    # Equal places of repeated rows are one place: a window is removed if a lesser place has it.
+    # Equal places of repeated rows are one place: a window is removed if a lesser place has it. Settled blocks have no hash.
     earlier = F.dense_rank().over(Window.partitionBy("hash", "name").orderBy("id", "start")) > 1
-    repeated = windows.where("hash IS NOT NULL").withColumn("repeat", earlier).where("repeat").select("id", "tag", (F.col("start") * PACK + 1).alias("span"))
-    settled = windows.where("hash IS NULL").select("id", "tag", "span")
-    return repeated.unionByName(settled).groupBy("id", "tag").agg(F.collect_list("span").alias("spans"))
+    repeated = windows.withColumn("repeat", F.col("hash").isNull() | earlier).where("repeat")
+    span = F.when(F.col("hash").isNull(), F.col("span")).otherwise(F.col("start") * PACK + 1)
+    return repeated.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))
 
 
 def removed_words(n: int, spans: np.ndarray, size: int) -> np.ndarray:
