@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queryset.llm import decontaminate, mixing, quality_rules, simhash, substrings, token_files, tokens
+from queryset.llm import decontaminate, mixing, quality_classifier, quality_rules, simhash, substrings, token_files, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), "contaminated")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_classifier.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), least=0.7, sample=6000)
+    return found.select("doc_id", F.round("expected_grade", 6).alias("expected_grade"), F.round("p_top", 6).alias("p_top"), "kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(_table(spark, sf_dir, "documents"), min_words=50, max_repeat_percent=50)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
@@ -48,6 +53,7 @@ def queries() -> dict:
         "op4_substrings": op4_substrings,
         "op6_simhash": op6_simhash,
         "op7_decontaminate": op7_decontaminate,
+        "op8_quality_classifier": op8_quality_classifier,
         "op10_quality_rules": op10_quality_rules,
     }
 
