@@ -13,12 +13,12 @@ import re
 
 import numpy as np
 
-#: Words kept by one worker; beyond that the table starts anew.
-MAX_WORDS = 800_000
+#: Words kept by one worker, in two tables: when the newer one is full it becomes the older one, and words still in use move over.
+MAX_WORDS = 1_000_000
 #: Longer words are encoded each time and not kept.
 MAX_WORD_BYTES = 64
-#: Bytes of new words handed to the library in one call.
-CALL_BYTES = 1 << 18
+#: New words handed to the library in one call.
+CALL_WORDS = 1 << 14
 
 #: A stop after a letter and before white space: a token of its own, so that "word," needs no entry beside "word".
 STOP = re.compile(rb"([a-z])([.,])(?=[ \n])")
@@ -32,6 +32,10 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _calls(words: list) -> list[list]:
+    return [words[at : at + CALL_WORDS] for at in range(0, len(words), CALL_WORDS)]
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -41,6 +45,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         #: The vocabulary makes no difference of case, and ends a token between a letter and a comma.
         self.folds = all(self.whole(a) == self.whole(b) for a, b in PROBES)
 
@@ -58,15 +66,26 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip(cuts, [*cuts[1:], len(ids)])]
 
+    def _encode_letters(self, texts: list[str]) -> list[bytes] | None:
+        """Ids of words of letters only: one token each has the end-of-word mark, so no offsets are needed."""
+        encoding = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0]
+        ids = np.array(encoding.ids, "<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(cuts) != len(texts) or cuts[-1] != len(ids):
+            return None
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
     def _learn(self, words: list[bytes]) -> None:
-        at = 0
-        while at < len(words):
-            size, end = 0, at
-            while end < len(words) and size < CALL_BYTES:
-                size += len(words[end]) + 1
-                end += 1
-            self.ids.update(zip(words[at:end], self._encode_joined(words[at:end])))
-            at = end
+        texts = [w.decode("utf-8") for w in words]
+        plain = [t.isalpha() and (t.isascii() or t.lower().isalpha()) for t in texts]
+        letters = [(w, t) for w, t, x in zip(words, texts, plain) if x]
+        others = [w for w, x in zip(words, plain) if not x]
+        for part in _calls(letters):
+            found = self._encode_letters([t for _, t in part]) or self._encode_joined([w for w, _ in part])
+            self.ids.update(zip((w for w, _ in part), found))
+        for part in _calls(others):
+            self.ids.update(zip(part, self._encode_joined(part)))
 
     def _split(self, text: str | None) -> list[bytes]:
         if not text:
@@ -81,11 +100,11 @@ class WordEncoder:
         out, at = [], 0
         while at < len(texts):
             lists, distinct = [], set()
-            while at < len(texts) and len(distinct) < MAX_WORDS // 8:
+            while at < len(texts) and len(distinct) < MAX_WORDS // 16:
                 lists.append(self._split(texts[at]))
                 distinct.update(lists[-1])
                 at += 1
-            if len(distinct) > MAX_WORDS // 2 or max(map(len, distinct), default=0) > MAX_WORD_BYTES:
+            if len(distinct) > MAX_WORDS // 4 or max(map(len, distinct), default=0) > MAX_WORD_BYTES:
                 out += [self._one(words) for words in lists]
                 continue
             self._prepare(distinct)
@@ -96,14 +115,16 @@ class WordEncoder:
     def _prepare(self, distinct: set[bytes]) -> None:
         new = distinct.difference(self.ids)
         if new:
-            if len(self.ids) + len(new) > MAX_WORDS:
-                self.ids.clear()
+            if len(self.ids) + len(new) > MAX_WORDS // 2:
+                self.ids, self.older = {}, self.ids
                 new = distinct
-            self._learn(list(new))
+            known = {w: self.older[w] for w in new if w in self.older}
+            self.ids.update(known)
+            self._learn(list(new.difference(known)))
 
     def _one(self, words: list[bytes]) -> bytes:
         distinct = set(words)
-        if len(distinct) > MAX_WORDS // 2 or max(map(len, distinct), default=0) > MAX_WORD_BYTES:
+        if len(distinct) > MAX_WORDS // 4 or max(map(len, distinct), default=0) > MAX_WORD_BYTES:
             return self._pieces(words)
         self._prepare(distinct)
         return b"".join(map(self.ids.__getitem__, words))
