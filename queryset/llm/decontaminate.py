@@ -186,7 +186,27 @@ def _merged(rows: DataFrame, parts: list, size: int) -> DataFrame:
     return out.select("row_key", "text_hash", "n_words", "n_hit", "items", "spans", copies).drop("copy")
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 13, percent: int = 5) -> DataFrame:
-    """The documents that are not contaminated, rows and columns as they came."""
-    bad = contamination(docs, benchmark, size, percent).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 13, percent: int = 5, max_block_bytes: int = 512 << 10) -> DataFrame:
+    """The documents that are not contaminated, rows and columns as they came.
+
+    With one block the verdict is computed beside the row and nothing is joined back.
+    """
+    found = blocks(benchmark, max_block_bytes)
+    if len(found) > 1:
+        bad = contamination(docs, benchmark, size, percent, max_block_bytes).where("contaminated")
+        bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
+        return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    block, at = docs.sparkSession.sparkContext.broadcast(found[0]), docs.columns.index("text")
+
+    def run(batches):
+        automaton = _automaton(block, size)
+
+        def contaminated(text: str | None) -> bool:
+            words = _words(text)
+            spans, _ = automaton.scan(words)
+            return bool(len(spans)) and 100 * int(_covered(spans, len(words)).sum()) >= percent * len(words)
+
+        for batch in batches:
+            yield batch.filter(pa.array([not contaminated(x.as_py()) for x in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

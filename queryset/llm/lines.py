@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from queryset.llm.scratch import written
 from queryset.llm.urls import host_of
 
 #: Elements whose content is no text, and tags that end a line.
@@ -37,7 +38,17 @@ def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     return often.groupBy("host").agg(F.collect_list("line").alias("boilerplate"))
 
 
-def without_boilerplate(pages: DataFrame, ratio: float = 0.2, min_pages: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def _beside(rows: DataFrame, found: DataFrame, max_broadcast_lines: int, salts: int) -> DataFrame:
+    """Rows with the boilerplate of their host. A counted, small table is broadcast; a larger one meets rows that are salted, so that no host is one task."""
+    size = found.agg(F.sum(F.size("boilerplate")).alias("n")).first()["n"] or 0
+    if size <= max_broadcast_lines:
+        return rows.join(F.broadcast(found), "host", "left")
+    spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", F.size("lines")), F.lit(salts)).cast("int"))
+    return salted.join(spread, ["host", "salt"], "left").drop("salt")
+
+
+def without_boilerplate(pages: DataFrame, ratio: float = 0.2, min_pages: int = 5, max_broadcast_lines: int = 1_000_000, salts: int = 64, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, host, n_lines, n_dropped, kept_text`` of every page.
 
     Null urls and urls without :// share the empty host; null and empty pages have no
@@ -45,7 +56,7 @@ def without_boilerplate(pages: DataFrame, ratio: float = 0.2, min_pages: int = 5
     ignored; an empty table gives no rows.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url_col).alias("host"), lines_of(F.col(html_col)).alias("lines"))
-    found = rows.join(boilerplate(rows, ratio, min_pages), "host", "left")
+    found = _beside(rows, written(boilerplate(rows, ratio, min_pages), "boilerplate"), max_broadcast_lines, salts)
     kept = F.when(F.col("boilerplate").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains("boilerplate", F.xxhash64(x))))
     found = found.withColumn("kept", kept)
     return found.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text"))

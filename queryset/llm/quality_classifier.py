@@ -28,7 +28,7 @@ WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b
 MARKS = b"!#$%&*<>|"
 CAPITALS = bytes(range(0x41, 0x5B))
 #: Words kept by one worker with their bucket or weight; beyond that the table starts anew.
-MAX_WORDS = 400_000
+MAX_WORDS = 100_000
 
 
 def bucket(feature: bytes) -> int:

@@ -20,7 +20,6 @@ from queryset.llm import tokens
 LEAF_WORDS = 64
 SPACE = " \t\n\r\x0b\x0c"
 LEAF = re.compile(rf"[{SPACE}]*(?:[^{SPACE}]+[{SPACE}]+){{0,{LEAF_WORDS - 1}}}[^{SPACE}]*[{SPACE}]*")
-TREE = "array<struct<chars:long,tokens:long>>"
 
 
 def cut(text: str) -> list[str]:
@@ -109,7 +108,7 @@ def _counter(vocabulary: str):
 
 
 def build(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_hash, n_leaves, nodes``: the tree of every document, as a table to keep beside the documents.
+    """``doc_id, text_hash, n_leaves, chars, tokens`` (sums by node, in heap order): the tree of every document, as a table to keep beside the documents.
 
     ``text_hash`` ties a tree to the text that it was built from. Null and empty texts
     have a tree without leaves. Repeated rows give repeated trees.
@@ -121,12 +120,11 @@ def build(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
             texts = [cut(x.as_py() or "") for x in batch.column(2)]
             counts = iter(count([piece for pieces in texts for piece in pieces]))
             trees = [Tree([(len(piece), next(counts)) for piece in pieces]) for pieces in texts]
-            nodes = [[{"chars": a, "tokens": b} for a, b in t.nodes] for t in trees]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t.count for t in trees], pa.int64()), pa.array(nodes, kind)], ["doc_id", "text_hash", "n_leaves", "nodes"])
+            sums = [pa.array([[n[k] for n in t.nodes] for t in trees], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t.count for t in trees], pa.int32()), *sums], ["doc_id", "text_hash", "n_leaves", "chars", "tokens"])
 
-    kind = pa.list_(pa.struct([("chars", pa.int64()), ("tokens", pa.int64())]))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, text_hash long, n_leaves long, nodes {TREE}")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_leaves int, chars array<int>, tokens array<int>")
 
 
 def recount(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -137,34 +135,36 @@ def recount(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str
     Offsets beyond the text are cut to it, a null offset counts as 0, a null insert as empty. Documents without
     edits keep their count and are not encoded. A document without a tree of its present
     text gets one. Rows that share an id share its edits. Edits of unknown or null ids
-    do nothing.
+    do nothing; a document without an id gets a tree of its own and no edits.
     """
 
     def run(batches):
         count = _counter(vocabulary)
         for batch in batches:
             out = []
-            for key, text, n, nodes, found in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            for key, text_hash, text, trees, found in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 text, encoded = text or "", 0
-                if nodes is None:
+                stored = next((t for t in trees or [] if t["text_hash"] == text_hash), None)
+                if stored is None:
                     pieces = cut(text)
                     tree = Tree([(len(x), k) for x, k in zip(pieces, count(pieces))])
                     encoded += len(text)
                 else:
-                    tree = Tree.of([(x["chars"], x["tokens"]) for x in nodes], n)
-                before = tree.total[1] if tree.count else 0
+                    tree = Tree.of([*zip(stored["chars"], stored["tokens"])], stored["n_leaves"])
+                before = tree.total[1]
                 for edit in found or []:
                     text, tree, size = apply_edit(text, tree, edit["start"] or 0, edit["end"] or 0, edit["insert"] or "", count)
                     encoded += size
-                out.append((key, before, len(found or []), tree.total[1] if tree.count else 0, len(text), encoded))
+                out.append((key, before, len(found or []), tree.total[1], len(text), encoded))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 6, names)
 
     names = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_chars_encoded"]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    order = F.struct("seq", "start", "end", "insert")
-    edits = edits.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "seq", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "insert")
-    by_doc = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(order)).alias("edits"))
-    one_each = trees.dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "n_leaves", "nodes")
-    found = rows.join(by_doc, "doc_id", "left")
-    found = found.join(one_each, found["doc_id"].eqNullSafe(one_each["_id"]) & (found["text_hash"] == one_each["_hash"]), "left")
-    return found.select("doc_id", "text", "n_leaves", "nodes", "edits").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    edit = F.struct("seq", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "insert")
+    stored = trees.select(F.col("doc_id").alias("id"), F.struct("text_hash", "n_leaves", "chars", "tokens").alias("tree"))
+    asked = edits.select(F.col("doc_id").cast("long").alias("id"), edit.alias("edit"))
+    # Trees and edits meet by document before the texts join, which move once.
+    beside = stored.unionByName(asked, allowMissingColumns=True).where("id IS NOT NULL").groupBy("id")
+    beside = beside.agg(F.collect_set("tree").alias("trees"), F.sort_array(F.collect_list("edit")).alias("edits"))
+    found = rows.join(beside, rows["doc_id"] == beside["id"], "left")
+    return found.select("doc_id", "text_hash", "text", "trees", "edits").mapInArrow(run, ", ".join(f"{n} long" for n in names))

@@ -14,7 +14,7 @@ import re
 import numpy as np
 
 #: Words kept by one worker, in two tables: when the newer one is full it becomes the older one, and words still in use move over.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 400_000
 #: Longer words are encoded each time and not kept.
 MAX_WORD_BYTES = 64
 #: New words handed to the library in one call.
@@ -100,7 +100,7 @@ class WordEncoder:
         out, at = [], 0
         while at < len(texts):
             lists, distinct = [], set()
-            while at < len(texts) and len(distinct) < MAX_WORDS // 16:
+            while at < len(texts) and len(distinct) < MAX_WORDS // 8:
                 lists.append(self._split(texts[at]))
                 distinct.update(lists[-1])
                 at += 1
