@@ -548,7 +548,10 @@ class Grouping:
         scope = self.query._scope()
         row = scope.bind(self.query.shape)
         keys: list[Column] = []
-        key_shape = _shape(self.key(row), keys, "key") if self.key else None
+        key = self.key(row) if self.key else None
+        if self.key:
+            _parts(key)  # refuses a key without equality
+        key_shape = _shape(key, keys, "key") if self.key else None
         element = self.element(row) if self.element else row
         names = []
         for k in keys:  # the key's columns get names, so that aggregates can refer to them
