@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from queryset.llm.scratch import free
+
 #: Bytes of words stay (A-Z lowered), others become a space.
 WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 #: The same words in a text that is not lower-cased yet.
@@ -194,8 +196,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 13, perce
     found = blocks(benchmark, max_block_bytes)
     if len(found) > 1:
         bad = contamination(docs, benchmark, size, percent, max_block_bytes).where("contaminated")
-        bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-        return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+        key = free(docs, "_key")
+        bad = bad.select(F.col("doc_id").alias(key)).distinct()
+        return docs.join(bad, docs["doc_id"] == bad[key], "left_anti")
     block, at = docs.sparkSession.sparkContext.broadcast(found[0]), docs.columns.index("text")
 
     def run(batches):

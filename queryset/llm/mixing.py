@@ -15,7 +15,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from queryset.llm.scratch import written
+from queryset.llm.scratch import free, written
 
 #: Mean rows of a pattern in one bucket of the seeded order. The cut falls into one bucket, whose rows alone are put in exact order.
 BUCKET_ROWS = 2_000
@@ -187,6 +187,7 @@ def mix_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed
 
 def mixed_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it; columns as they came."""
-    chosen = mix_documents(docs, weights, max_repeats, seed).groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"])).where("_copies > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_id", "_copies", "_copy")
+    key, copies, copy = (free(docs, n) for n in ("_key", "_copies", "_copy"))
+    chosen = mix_documents(docs, weights, max_repeats, seed).groupBy("doc_id").agg(F.max("copies").alias(copies)).withColumnRenamed("doc_id", key)
+    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen[key])).where(F.col(copies) > 0)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(key, copies, copy)

@@ -168,8 +168,8 @@ def train(docs: DataFrame, rated: DataFrame, n_grades: int = 3, sample: int = 60
     """
     order = F.xxhash64(F.lit(seed), "doc_id", "grade")
     chosen = rated.where(F.col("grade").between(0, n_grades - 1)).orderBy(order, "doc_id", "grade").limit(sample)
-    ids = chosen.select(F.col("doc_id").alias("_id"), "grade")
-    rows = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"]).select("grade", docs["text"]).limit(2 * sample)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = texts.join(F.broadcast(chosen.select("doc_id", "grade")), "doc_id").select("grade", "text").limit(2 * sample)
     found = hashed(rows).toArrow()
     lists = found.column("buckets").combine_chunks() if found.num_rows else None
     grades = found.column("grade").to_numpy() if found.num_rows else np.zeros(0, np.int64)

@@ -37,3 +37,11 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     """checkpoint() into the shared folder, for small frames of iterative jobs."""
     shared_dir(frame.sparkSession)
     return frame.checkpoint()
+
+
+def free(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

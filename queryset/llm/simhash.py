@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from queryset.llm.components import connected_components
-from queryset.llm.scratch import written
+from queryset.llm.scratch import free, written
 
 BITS = 64
 SEED = 42
@@ -161,8 +161,9 @@ def one_of_each(docs: DataFrame, radius: int = 4, shingle_words: int = 4) -> Dat
     Rows without an id are kept. Columns are those of the input.
     """
     found = near_duplicates(docs, radius, shingle_words)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["_kept"], "left_semi")
+    key, row = free(docs, "_key"), free(docs, "_row")
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = docs.join(keep, docs["doc_id"] == keep[key], "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
-    first = kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    first = kept.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
     return first.unionByName(docs.where("doc_id IS NULL"))

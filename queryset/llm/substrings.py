@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from queryset.llm import recompression
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: A block of windows in one long: start * 32 + number; a symbol owns at most ``size`` neighbouring windows.
-PACK = 32
+#: A block of windows in one long: start * PACK + number; a symbol owns at most ``size`` neighbouring windows.
+PACK = 1 << 12
 #: Words that one worker compresses at a time; a longer document is taken alone.
 CHUNK_WORDS = 1 << 18
 U = np.uint64
@@ -182,6 +182,8 @@ def deduplicated(docs: DataFrame, size: int = 20, with_text: bool = True, id_col
     of a row keep what one of them would keep. A null doc_id comes after all others. Other
     columns are ignored; an empty table gives no rows.
     """
+    if not 1 <= size < PACK:
+        raise ValueError(f"windows have 1 to {PACK - 1} words")
     rounds = max(1, int(np.log2(size)))
     last = F.lit((1 << 63) - 1)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.col(text_col).alias("text"))
