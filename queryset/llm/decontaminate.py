@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 import ahocorasick
 import numpy as np
@@ -85,16 +86,19 @@ def blocks(benchmark: DataFrame, max_bytes: int, id_col: str = "item_id", text_c
     return out
 
 
-_built: dict = {}
+class Shared:
+    """A block of items as a broadcast; each Python worker builds its automaton once, and keeps that of one block."""
 
+    built: dict = {}
 
-def _automaton(shared, size: int) -> Automaton:
-    """Built once by each Python worker for each broadcast."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), size)
-    if key not in _built:
-        _built.clear()
-        _built[key] = Automaton(shared.value, size)
-    return _built[key]
+    def __init__(self, spark, items: list[tuple[str, str | None]]):
+        self.items, self.name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+
+    def automaton(self, size: int) -> Automaton:
+        if (self.name, size) not in Shared.built:
+            Shared.built.clear()
+            Shared.built[self.name, size] = Automaton(self.items.value, size)
+        return Shared.built[self.name, size]
 
 
 def _covered(spans: np.ndarray, n: int) -> np.ndarray:
@@ -113,7 +117,7 @@ def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
 SCHEMA = "row_key long, text_hash string, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long,start:long,end:long>>"
 
 
-def matches(rows: DataFrame, block, size: int) -> DataFrame:
+def matches(rows: DataFrame, block: Shared, size: int) -> DataFrame:
     """For each row ``row_key, text_hash, text``: words, hit words, items that occur, and the hit runs.
 
     A run has its first and last word (exclusive) and the character offsets of the
@@ -121,7 +125,7 @@ def matches(rows: DataFrame, block, size: int) -> DataFrame:
     """
 
     def run(batches):
-        automaton = _automaton(block, size)
+        automaton = block.automaton(size)
         for batch in batches:
             out = []
             for key, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -157,14 +161,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, percent
     A benchmark larger than ``max_block_bytes`` is read in several blocks, each with
     an automaton of its own, and the hit runs of all blocks are merged by document.
     """
-    spark = docs.sparkSession
-    parts = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, max_block_bytes)]
+    parts = [Shared(docs.sparkSession, b) for b in blocks(benchmark, max_block_bytes)]
+    return _judged(docs, parts, size, percent, id_col, text_col).withColumnRenamed("row_key", "doc_id").drop("text_hash")
+
+
+def _text_hash(text_col: str):
+    return F.sha2(F.coalesce(text_col, F.lit("")), 256)
+
+
+def _judged(docs: DataFrame, parts: list[Shared], size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     several = len(parts) > 1
-    text_hash = F.sha2(F.coalesce(text_col, F.lit("")), 256) if several else F.lit(None).cast("string")
+    text_hash = _text_hash(text_col) if several else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("row_key"), text_hash.alias("text_hash"), F.col(text_col).alias("text"))
     found = _merged(rows, parts, size) if several else matches(rows, parts[0], size)
     hit = (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent)
-    return found.withColumn("contaminated", hit).withColumnRenamed("row_key", "doc_id").drop("text_hash")
+    return found.withColumn("contaminated", hit)
 
 
 def _merged(rows: DataFrame, parts: list, size: int) -> DataFrame:
@@ -195,14 +206,15 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 13, perce
     """
     found = blocks(benchmark, max_block_bytes)
     if len(found) > 1:
-        bad = contamination(docs, benchmark, size, percent, max_block_bytes).where("contaminated")
-        key = free(docs, "_key")
-        bad = bad.select(F.col("doc_id").alias(key)).distinct()
-        return docs.join(bad, docs["doc_id"] == bad[key], "left_anti")
-    block, at = docs.sparkSession.sparkContext.broadcast(found[0]), docs.columns.index("text")
+        parts = [Shared(docs.sparkSession, b) for b in found]
+        key, text_hash = free(docs, "_key"), free(docs, "_hash")
+        bad = _judged(docs, parts, size, percent, "doc_id", "text").where("contaminated")
+        bad = bad.select(F.col("row_key").alias(key), F.col("text_hash").alias(text_hash)).distinct()
+        return docs.join(bad, docs["doc_id"].eqNullSafe(bad[key]) & (_text_hash("text") == bad[text_hash]), "left_anti")
+    block, at = Shared(docs.sparkSession, found[0]), docs.columns.index("text")
 
     def run(batches):
-        automaton = _automaton(block, size)
+        automaton = block.automaton(size)
 
         def contaminated(text: str | None) -> bool:
             words = _words(text)

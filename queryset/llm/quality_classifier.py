@@ -84,17 +84,19 @@ def begins(word: bytes) -> list[bytes]:
 class Model:
     weights: np.ndarray  # DIM values
     thresholds: np.ndarray  # ascending, one fewer than grades
+    usual: float = 0.0  # nearly all sample rows of the best grade have it as p_top at least
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(rating >= k) for k = 1..K, by row."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, rounds: int = 300, rate: float = 1.0, decay: float = 1e-4, least_rows: int = 8, least_z: float = 6.0, balance: float = 0.5) -> Model:
+def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, rounds: int = 300, rate: float = 1.0, decay: float = 1e-4, least_rows: int = 8, most_z: float = 6.0, balance: float = 0.5) -> Model:
     """Maximum likelihood with a squared penalty, by Adagrad over all rows in every round.
 
     A feature keeps the weight zero if fewer than ``least_rows`` rows have it, or if their
-    mean grade is less than ``least_z`` standard errors from that of all. ``balance`` 1
+    mean grade is less than some standard errors from that of all: ``most_z`` from 6,000
+    rows on, fewer with the root of their number, 3.5 at least. ``balance`` 1
     lets grades weigh alike in sum, 0 as their rows. Thresholds are a first one and positive steps. A grade that no row has moves its
     thresholds nowhere; no rows at all give a model of score zero.
     """
@@ -104,6 +106,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, rounds: int =
     index = np.concatenate(rows)
     lengths = np.array([len(r) for r in rows])
     n_rows = np.bincount(index, minlength=DIM)
+    least_z = min(most_z, max(3.5, most_z * (len(rows) / 6000) ** 0.5))
     apart = (grades - grades.mean()) / max(grades.std(), 1e-9)
     common = (n_rows >= least_rows) & (np.abs(np.bincount(index, np.repeat(apart, lengths), DIM)) >= least_z * np.sqrt(np.maximum(n_rows, 1)))
     rows_of = np.repeat(np.arange(len(rows)), lengths)[common[index]]
@@ -160,11 +163,12 @@ def ratings(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade")).where("doc_id IS NOT NULL AND grade IS NOT NULL")
 
 
-def train(docs: DataFrame, rated: DataFrame, n_grades: int = 3, sample: int = 6000, seed: int = 8) -> Model:
+def train(docs: DataFrame, rated: DataFrame, n_grades: int = 3, sample: int = 6000, seed: int = 8, keep_share: float = 0.97) -> Model:
     """Fit on at most ``sample`` rated documents, the first in the order of a seeded hash.
 
     The sample's size is a parameter, so what is broadcast (its ids and grades) and
-    what is gathered (its hashed features) are bounded.
+    what is gathered (its hashed features) are bounded. ``keep_share`` of the sample's
+    rows of the best grade have ``Model.usual`` as p_top at least.
     """
     order = F.xxhash64(F.lit(seed), "doc_id", "grade")
     chosen = rated.where(F.col("grade").between(0, n_grades - 1)).orderBy(order, "doc_id", "grade").limit(sample)
@@ -175,7 +179,18 @@ def train(docs: DataFrame, rated: DataFrame, n_grades: int = 3, sample: int = 60
     grades = found.column("grade").to_numpy() if found.num_rows else np.zeros(0, np.int64)
     rows = np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1]) if found.num_rows else []
     order = np.lexsort((np.array([zlib.crc32(r.tobytes()) for r in rows]), grades)) if len(rows) else []
-    return fit([rows[k] for k in order], grades[order] if len(rows) else grades, n_grades)
+    rows, grades = [rows[k] for k in order], grades[order] if len(rows) else grades
+    model = fit(rows, grades, n_grades)
+    best = [r for r, g in zip(rows, grades) if g == n_grades - 1]
+    if best:
+        model.usual = float(np.quantile(model.tails(np.array([_sum(model.weights, r) for r in best]))[:, -1], 1 - keep_share, method="lower"))
+    return model
+
+
+def _sum(weights: np.ndarray, buckets) -> float:
+    """A score: only features with a weight are summed, in order, so all ways to a score agree to the last bit."""
+    held = np.sort(np.asarray(buckets, np.int64))
+    return float(weights[held[weights[held] != 0]].sum())
 
 
 def _scorer(weights: np.ndarray):
@@ -191,7 +206,7 @@ def _scorer(weights: np.ndarray):
         held = set(chain.from_iterable(map(table.__getitem__, words))).union(map(bucket, extra))
         if len(table) > MAX_WORDS:
             table.clear()
-        return float(weights[sorted(held)].sum())
+        return _sum(weights, list(held))
 
     return score
 
@@ -216,22 +231,29 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def filtered(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
-    """The rows whose best grade has a probability of at least ``least``; nothing is joined back."""
+    """The rows whose best grade is likely enough (see ``judged``); nothing is joined back."""
+    limit = min(least, model.usual)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches):
         score = _scorer(shared.value.weights)
         for batch in batches:
             found = np.array([score(x.as_py()) for x in batch.column(at)], float)
-            yield batch.filter(pa.array(shared.value.tails(found)[:, -1] >= least))
+            yield batch.filter(pa.array(shared.value.tails(found)[:, -1] >= limit))
 
     return docs.mapInArrow(run, docs.schema)
 
 
 def judged(docs: DataFrame, labels: DataFrame, least: float = 0.7, sample: int = 6000) -> DataFrame:
-    """``doc_id, expected_grade, p_top, kept`` of every document: kept if the best grade has a probability of at least ``least``."""
+    """``doc_id, expected_grade, p_top, kept`` of every document.
+
+    Kept: the best grade has a probability of at least ``least``, or of what nearly all
+    good rows of the sample have, where that is less. So few or uninformative labels
+    reject nothing.
+    """
     model = train(docs, ratings(labels), sample=sample)
-    return scores(docs, model).select("doc_id", "expected_grade", "p_top", (F.col("p_top") >= least).alias("kept"))
+    limit = min(least, model.usual)
+    return scores(docs, model).select("doc_id", "expected_grade", "p_top", (F.col("p_top") >= limit).alias("kept"))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, least: float = 0.7, sample: int = 6000) -> DataFrame:
