@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 #: Words kept by one worker, in two tables: when the newer one is full it becomes the older one, and words still in use move over.
-MAX_WORDS = 400_000
+MAX_WORDS = 600_000
 #: Longer words are encoded each time and not kept.
 MAX_WORD_BYTES = 64
 #: New words handed to the library in one call.
@@ -77,15 +78,19 @@ class WordEncoder:
         return [data[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1]], cuts)]
 
     def _learn(self, words: list[bytes]) -> None:
+        simple = [w for w in words if w.isalpha() and w.islower()] if self.folds else []  # ASCII letters: one token run, nothing to normalise
+        tokenize, kept = self.tokenizer.model.tokenize, self.ids
+        for w in simple:
+            kept[w] = array("I", [t.id for t in tokenize(w.decode("ascii"))]).tobytes()
+        words = [w for w in words if w not in kept]
         texts = [w.decode("utf-8") for w in words]
-        plain = [t.isalpha() and (t.isascii() or t.lower().isalpha()) for t in texts]
+        plain = [t.isalpha() and t.lower().isalpha() for t in texts]
         letters = [(w, t) for w, t, x in zip(words, texts, plain) if x]
-        others = [w for w, x in zip(words, plain) if not x]
         for part in _calls(letters):
             found = self._encode_letters([t for _, t in part]) or self._encode_joined([w for w, _ in part])
-            self.ids.update(zip((w for w, _ in part), found))
-        for part in _calls(others):
-            self.ids.update(zip(part, self._encode_joined(part)))
+            kept.update(zip((w for w, _ in part), found))
+        for part in _calls([w for w, x in zip(words, plain) if not x]):
+            kept.update(zip(part, self._encode_joined(part)))
 
     def _split(self, text: str | None) -> list[bytes]:
         if not text:
