@@ -25,7 +25,8 @@ from queryset.llm import recompression
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A block of windows in one long: start * PACK + number; a symbol owns at most ``size`` neighbouring windows.
-PACK = 1 << 12
+PACK_BITS = 12
+PACK = 1 << PACK_BITS
 #: Words that one worker compresses at a time; a longer document is taken alone.
 CHUNK_WORDS = 1 << 18
 U = np.uint64
@@ -142,23 +143,23 @@ def _windows(rows: DataFrame, size: int, rounds: int) -> DataFrame:
     return rows.select("id", "tag", "hashes", "spans").mapInArrow(run, "name long, id long, tag long, span long, hashes array<long>")
 
 
-def _removals(docs: DataFrame, size: int, rounds: int) -> DataFrame:
-    """``id, tag, spans``: packed blocks of windows that also start earlier, by document."""
+def _removals(docs: DataFrame, by: list[str], size: int, rounds: int) -> DataFrame:
+    """``spans`` by document (columns ``by``): packed blocks of windows that also start earlier, by document."""
     hashes = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
     anchors = _anchors(docs.select("id", "tag", hashes.alias("hashes")), size, rounds)
     shared = Window.partitionBy("name")
     found = anchors.withColumn("n", F.count(F.lit(1)).over(shared)).where("settled OR n > 1")
-    asked = found.groupBy("id", "tag").agg(F.collect_list(F.struct("name", "span", "settled")).alias("spans"))
-    again = docs.join(asked, ["id", "tag"]).select("id", "tag", hashes.alias("hashes"), "spans")
+    asked = found.groupBy(*by).agg(F.collect_list(F.struct("name", "span", "settled")).alias("spans"))
+    again = docs.join(asked, by).select("id", "tag", hashes.alias("hashes"), "spans")
     blocks = _windows(again, size, rounds).repartition("name")
     windows = blocks.select("name", "id", "tag", "span", F.posexplode_outer("hashes").alias("at", "hash"))
-    start = F.floor(F.col("span") / PACK) + F.coalesce("at", F.lit(0))
+    start = F.shiftright("span", PACK_BITS) + F.coalesce("at", F.lit(0))
     windows = windows.withColumn("start", start)
     # Equal places of repeated rows are one place: a window is removed if a lesser place has it. Settled blocks have no hash.
     earlier = F.dense_rank().over(Window.partitionBy("hash", "name").orderBy("id", "start")) > 1
     repeated = windows.withColumn("repeat", F.col("hash").isNull() | earlier).where("repeat")
     span = F.when(F.col("hash").isNull(), F.col("span")).otherwise(F.col("start") * PACK + 1)
-    return repeated.groupBy("id", "tag").agg(F.collect_list(span).alias("spans"))
+    return repeated.groupBy(*by).agg(F.collect_list(span).alias("spans"))
 
 
 def removed_words(n: int, spans: np.ndarray, size: int) -> np.ndarray:
@@ -188,11 +189,12 @@ def deduplicated(docs: DataFrame, size: int = 20, with_text: bool = True, id_col
     last = F.lit((1 << 63) - 1)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.col(text_col).alias("text"))
     counts = rows.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).first()
-    # Rows that share an id are told apart by their text.
-    rows = rows.withColumn("tag", F.lit(0).cast("long") if counts["n"] == counts["ids"] else F.xxhash64("text"))
-    rows = rows.select("id", "tag", "text")
-    removals = _removals(rows, size, rounds)
-    joined = rows.join(removals, ["id", "tag"], "left").select("id", "text", "spans")
+    # Rows that share an id are told apart by their text; else the id alone is the key, so that each table moves once for grouping and join.
+    unique = counts["n"] == counts["ids"]
+    rows = rows.select("id", (F.lit(0).cast("long") if unique else F.xxhash64("text")).alias("tag"), "text")
+    by = ["id"] if unique else ["id", "tag"]
+    removals = _removals(rows, by, size, rounds)
+    joined = rows.join(removals, by, "left").select("id", "text", "spans")
 
     def run(batches):
         for batch in batches:
