@@ -8,8 +8,9 @@
    candidate window is verified by a hash of all its words within the symbol's group.
 3. All but the first window of equal ones are marked, and the words below them removed.
 
-Equal blocks of windows within one batch are settled before any shuffle, so a passage
-that very many documents share reaches the shuffle once by batch.
+Equal blocks and windows within one batch are settled before any shuffle, and of equal
+names one by batch is shuffled by name, so a passage that very many documents share
+reaches a task once by batch.
 """
 
 from __future__ import annotations
@@ -80,8 +81,8 @@ def _contents(words, heads, long, names, size) -> np.ndarray:
     return recompression.mix(content, 11)
 
 
-def _local_repeats(content, ids, starts) -> np.ndarray:
-    """Blocks of a batch that equal a block at an earlier place of the batch."""
+def _later_places(content, ids, starts) -> np.ndarray:
+    """Entries of a batch whose content stands at an earlier place of the batch as well."""
     order = np.lexsort((starts, ids, content))
     same = np.zeros(len(order), bool)
     same[1:] = content[order][1:] == content[order][:-1]
@@ -93,8 +94,18 @@ def _local_repeats(content, ids, starts) -> np.ndarray:
     return out
 
 
+def _spread(ids, starts) -> np.ndarray:
+    """Values that deal rows out evenly."""
+    return recompression.mix(ids.view(U) ^ starts.astype(U), 13)
+
+
 def _anchors(rows: DataFrame, size: int, rounds: int) -> DataFrame:
-    """``name, id, tag, span, settled``: the blocks of every document. Settled ones repeat an earlier block of their batch."""
+    """``meet, name, id, tag, span, settled, shared``: the blocks of every document.
+
+    Settled ones repeat an earlier block of their batch. Shared ones have a name that
+    another place of their batch has. Of those one by batch goes where its name leads
+    (``meet``), to tell the others; the rest is dealt out evenly.
+    """
 
     def run(batches):
         for batch in batches:
@@ -111,16 +122,25 @@ def _anchors(rows: DataFrame, size: int, rounds: int) -> DataFrame:
             if not parts:
                 continue
             row, start, long, names, content = map(np.concatenate, zip(*parts))
-            settled = _local_repeats(content, ids[row], start)
-            # A settled block meets no other any more; its name only spreads the rows.
-            names = np.where(settled, recompression.mix(ids[row].view(U) ^ start.astype(U)), names)
-            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(ids[row]), pa.array(tags[row]), pa.array(start * PACK + long), pa.array(settled)], ["name", "id", "tag", "span", "settled"])
+            settled = _later_places(content, ids[row], start)
+            _, at, group, n = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+            shared = n[group] > 1
+            stays = np.zeros(len(names), bool)
+            stays[at] = True
+            meet = np.where(stays, names, _spread(ids[row], start))
+            columns = [meet.view(np.int64), names.view(np.int64), ids[row], tags[row], start * PACK + long, settled, shared]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["meet", "name", "id", "tag", "span", "settled", "shared"])
 
-    return rows.select("id", "tag", "hashes").mapInArrow(run, "name long, id long, tag long, span long, settled boolean")
+    return rows.select("id", "tag", "hashes").mapInArrow(run, "meet long, name long, id long, tag long, span long, settled boolean, shared boolean")
 
 
-def _windows(rows: DataFrame, size: int, rounds: int) -> DataFrame:
-    """``name, id, tag, span, hashes`` of the spans asked for (column ``spans``); settled spans come without hashes."""
+def _windows(rows: DataFrame, size: int) -> DataFrame:
+    """``name, id, tag, span, hashes`` of the blocks asked for (column ``spans``).
+
+    Windows that stand at an earlier place of the batch are settled here: they, and
+    settled blocks, come as spans without hashes, dealt out evenly. The others come with
+    a hash each, 0 in the place of a settled one.
+    """
 
     def run(batches):
         for batch in batches:
@@ -133,28 +153,45 @@ def _windows(rows: DataFrame, size: int, rounds: int) -> DataFrame:
                 part = spans.slice(offsets[a], offsets[b] - offsets[a])
                 row = np.repeat(np.arange(a, b), np.diff(offsets[a : b + 1]))
                 name, span, settled = (part.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                start, long = span // PACK, np.where(settled, 0, span % PACK)
-                upto = np.cumsum(long)
-                at = np.repeat(ends[row] - ends[a] + start - (upto - long), long) + np.arange(int(upto[-1]) if len(upto) else 0)
-                hashes = window_hashes(words[ends[a] : ends[b]], at, size).view(np.int64)
-                lists = pa.ListArray.from_arrays(np.concatenate([[0], upto]).astype(np.int32), pa.array(hashes))
-                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(ids[row]), pa.array(tags[row]), pa.array(span), lists], ["name", "id", "tag", "span", "hashes"])
+                yield _settle(words[ends[a] : ends[b]], ends[row] - ends[a], ids[row], tags[row], name, span, settled, size)
 
     return rows.select("id", "tag", "hashes", "spans").mapInArrow(run, "name long, id long, tag long, span long, hashes array<long>")
 
 
+def _settle(words, base, ids, tags, name, span, settled, size) -> pa.RecordBatch:
+    start, long = span // PACK, np.where(settled, 0, span % PACK)
+    upto = np.cumsum(long)
+    block = np.repeat(np.arange(len(span)), long)
+    place = np.repeat(start - (upto - long), long) + np.arange(len(block))  # in the document
+    hashes = window_hashes(words, base[block] + place, size)
+    hashes[hashes == 0] = U(1)
+    later = _later_places(hashes ^ recompression.mix(name.view(U)[block], 15), ids[block], place)
+    gone = np.flatnonzero(later)
+    hashes[gone] = 0
+    lists = pa.ListArray.from_arrays(np.concatenate([[0], upto]).astype(np.int32), pa.array(hashes.view(np.int64)))
+    open_ = np.flatnonzero(~settled)
+    done = np.flatnonzero(settled)
+    # Rows: open blocks with hashes, settled blocks, settled windows.
+    none = pa.nulls(len(done) + len(gone), pa.list_(pa.int64()))
+    rows = np.concatenate([done, block[gone]])
+    spans = np.concatenate([span[done], place[gone] * PACK + 1])
+    names = np.concatenate([name[open_], _spread(ids[rows], spans).view(np.int64)])
+    where = np.concatenate([open_, rows])
+    columns = [pa.array(names), pa.array(ids[where]), pa.array(tags[where]), pa.array(np.concatenate([span[open_], spans])), pa.concat_arrays([lists.take(pa.array(open_)), none])]
+    return pa.RecordBatch.from_arrays(columns, ["name", "id", "tag", "span", "hashes"])
+
+
 def _removals(docs: DataFrame, by: list[str], size: int, rounds: int) -> DataFrame:
     """``spans`` by document (columns ``by``): packed blocks of windows that also start earlier, by document."""
     hashes = F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
     anchors = _anchors(docs.select("id", "tag", hashes.alias("hashes")), size, rounds)
-    shared = Window.partitionBy("name")
-    found = anchors.withColumn("n", F.count(F.lit(1)).over(shared)).where("settled OR n > 1")
+    found = anchors.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("meet"))).where("settled OR shared OR n > 1")
     asked = found.groupBy(*by).agg(F.collect_list(F.struct("name", "span", "settled")).alias("spans"))
     again = docs.join(asked, by).select("id", "tag", hashes.alias("hashes"), "spans")
-    blocks = _windows(again, size, rounds).repartition("name")
+    blocks = _windows(again, size).repartition("name")
     windows = blocks.select("name", "id", "tag", "span", F.posexplode_outer("hashes").alias("at", "hash"))
     start = F.shiftright("span", PACK_BITS) + F.coalesce("at", F.lit(0))
-    windows = windows.withColumn("start", start)
+    windows = windows.where("hash IS NULL OR hash <> 0").withColumn("start", start)
     # Equal places of repeated rows are one place: a window is removed if a lesser place has it. Settled blocks have no hash.
     earlier = F.dense_rank().over(Window.partitionBy("hash", "name").orderBy("id", "start")) > 1
     repeated = windows.withColumn("repeat", F.col("hash").isNull() | earlier).where("repeat")
