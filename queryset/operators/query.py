@@ -14,6 +14,10 @@ from queryset.operators.rows import Entity, EntityRow, Record, Related, Scalar,
 from queryset.sources.model import Collection, EntityType, Reference
 
 
+#: Sequence operators that are refused.
+POSITIONAL = ("skip_while", "take_while", "skip_last", "take_last", "chunk", "append", "prepend", "aggregate", "sequence_equal")
+
+
 def root(context, kind: EntityType, ignore_filters: bool | list[str] = False) -> Query:
     """All rows of an entity set, with its filters and, for a derived type, its discriminator."""
     if kind.defining is not None:
@@ -387,6 +391,13 @@ class Query:
         self.context.spark.sparkContext.setJobDescription(text)
         return self
 
+    # Operators without a set-oriented meaning
+
+    def __getattr__(self, name: str):
+        if name in POSITIONAL:
+            raise TranslationError(f"{name} has no meaning over a set of rows; page an ordered query, or use Python on its results")
+        raise AttributeError(name)
+
     # Results
 
     def to_df(self) -> DataFrame:

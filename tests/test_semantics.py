@@ -115,6 +115,8 @@ def client(value):
         lambda c: c.region.select(lambda r: r.nations),
         lambda c: c.region.select(lambda r: record(name=r.r_name, nations=r.nations)),
         lambda c: c.nation.reverse(),
+        lambda c: c.nation.take_while(lambda n: n.n_nationkey < 3),
+        lambda c: c.nation.sequence_equal(c.nation),
         lambda c: c.nation.then_by(lambda n: n.n_name),
         lambda c: c.nation.distinct_by(lambda n: n.n_regionkey),
         lambda c: c.embeddings.distinct(),
