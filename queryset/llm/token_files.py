@@ -116,7 +116,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, segment_tokens: in
             return pa.RecordBatch.from_pylist([{"part": part, "segment": segment, "doc_ids": ids, "doc_tokens": lengths, "n_tokens": size, "codes": image}], schema=_arrow)
 
         for batch in batches:
-            for key, one in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for key, one in zip(batch.column(0).to_pylist(), encode(batch.column(1).cast(pa.binary()).to_pylist())):
                 one += end
                 ids.append(key)
                 lengths.append(len(one) // 4)

@@ -92,16 +92,16 @@ class WordEncoder:
         for part in _calls([w for w, x in zip(words, plain) if not x]):
             kept.update(zip(part, self._encode_joined(part)))
 
-    def _split(self, text: str | None) -> list[bytes]:
+    def _split(self, text: str | bytes | None) -> list[bytes]:
         if not text:
             return []
-        data = text.encode("utf-8", "replace")
+        data = text if isinstance(text, bytes) else text.encode("utf-8", "replace")
         if self.folds and b"<|" not in data:  # else a special token's string might arise
             data = STOP.sub(rb"\1 \2", data.lower())
         return data.split()
 
-    def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts; null has none. New words of all texts meet the library together."""
+    def encode_many(self, texts: list[str | bytes | None]) -> list[bytes]:
+        """Ids of whole texts (UTF-8 where they are bytes); null has none. New words of all texts meet the library together."""
         out, at = [], 0
         while at < len(texts):
             lists, distinct = [], set()
