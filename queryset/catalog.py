@@ -120,10 +120,10 @@ def _(ctx):
     return ctx.part.select(lambda p: record(id=p.p_partkey, label=p.p_name.upper(), twice=p.p_size * 2))
 
 
-@register("client_projection")
+@register("client_projection", "SELECT n_nationkey AS key, '#' || n_nationkey || ': ' || r_name AS text FROM nation JOIN region ON n_regionkey = r_regionkey")
 def _(ctx):
-    rows = ctx.orders.order_by(lambda o: o.o_orderkey).take(50).select_client(lambda key, price: (key, f"#{key}: {price:.1f}"), lambda o: o.o_orderkey, lambda o: o.o_totalprice)
-    return ctx.spark.createDataFrame(rows, "key long, text string")
+    rows = ctx.nation.select_client(lambda key, region: (key, f"#{key}: {region}"), lambda n: n.n_nationkey, lambda n: n.region.r_name)
+    return ctx.spark.createDataFrame(rows, "key int, text string")
 
 
 @register("nav_reference_projection", "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
