@@ -29,6 +29,8 @@ from queryset.llm.scratch import new_path
 END_ID = 1
 CHUNK = 8
 RANK_BLOCK = 512
+#: Texts that one worker holds as Python objects at a time.
+SLICE_ROWS = 200
 MAGIC = b"DAC1"
 
 
@@ -115,8 +117,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, segment_tokens: in
             image = pack(np.frombuffer(b"".join(data), "<u4"))
             return pa.RecordBatch.from_pylist([{"part": part, "segment": segment, "doc_ids": ids, "doc_tokens": lengths, "n_tokens": size, "codes": image}], schema=_arrow)
 
-        for batch in batches:
-            for key, one in zip(batch.column(0).to_pylist(), encode(batch.column(1).cast(pa.binary()).to_pylist())):
+        for part_of in (batch.slice(at, SLICE_ROWS) for batch in batches for at in range(0, len(batch), SLICE_ROWS)):
+            for key, one in zip(part_of.column(0).to_pylist(), encode(part_of.column(1).cast(pa.binary()).to_pylist())):
                 one += end
                 ids.append(key)
                 lengths.append(len(one) // 4)

@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 #: Words kept by one worker, in two tables: when the newer one is full it becomes the older one, and words still in use move over.
-MAX_WORDS = 600_000
+MAX_WORDS = 300_000
 #: Longer words are encoded each time and not kept.
 MAX_WORD_BYTES = 64
 #: New words handed to the library in one call.
