@@ -673,7 +673,7 @@ def _(ctx):
 
 @register(
     "string_functions",
-    """SELECT p_partkey, upper(p_name) AS a, lower(p_brand) AS b, trim('  ' || p_name || ' ') AS c, substring(p_name, 3, 4) AS d, replace(p_name, 'e', '3') AS e, instr(p_name, 'i') - 1 AS f, p_name || '/' || p_brand AS g,
+    """SELECT p_partkey, upper(p_name) AS a, lower(p_brand) AS b, trim('  ' || p_name || ' ') AS c, substring(p_name, 3, 4) AS d, replace(p_name, 'e', '3') AS e, CAST(instr(p_name, 'i') - 1 AS INTEGER) AS f, p_name || '/' || p_brand AS g,
               coalesce(p_name, '') = '' AS h, substring(p_name, 4) AS i FROM part""",
 )
 def _(ctx):
