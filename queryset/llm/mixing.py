@@ -174,7 +174,11 @@ def _select(rows: DataFrame, quota: DataFrame, seed: int, buckets: int) -> DataF
 
 
 def mix_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every document, each of one source (null is a source)."""
+    """``doc_id, source, size, source_size, target, taken`` of every document, each of one source (null is a source).
+
+    Null and empty texts have size 0 and nothing is taken of them; repeated rows each
+    count; other columns are ignored; an empty table gives no rows.
+    """
     rows = written(sizes(docs), "sizes")
     spark = docs.sparkSession
     chosen, goal, _ = mix(rows.withColumn("pattern", F.array("source")), weights, max_repeats, seed)

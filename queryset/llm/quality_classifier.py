@@ -250,6 +250,11 @@ def judged(docs: DataFrame, labels: DataFrame, least: float = 0.7, sample: int =
     Kept: the best grade has a probability of at least ``least``, or of what nearly all
     good rows of the sample have, where that is less. So few or uninformative labels
     reject nothing.
+
+    Null and empty texts are judged by their shape (no words); repeated rows each keep
+    their row; labels with a null, or of unknown documents, teach nothing, and repeated
+    labels count as often as they come; other columns are ignored; an empty table gives
+    no rows. Without any label every document is kept.
     """
     model = train(docs, ratings(labels), sample=sample)
     limit = min(least, model.usual)

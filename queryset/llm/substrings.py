@@ -171,10 +171,13 @@ def _settle(words, base, ids, tags, name, span, settled, size) -> pa.RecordBatch
     lists = pa.ListArray.from_arrays(np.concatenate([[0], upto]).astype(np.int32), pa.array(hashes.view(np.int64)))
     open_ = np.flatnonzero(~settled)
     done = np.flatnonzero(settled)
-    # Rows: open blocks with hashes, settled blocks, settled windows.
-    none = pa.nulls(len(done) + len(gone), pa.list_(pa.int64()))
-    rows = np.concatenate([done, block[gone]])
-    spans = np.concatenate([span[done], place[gone] * PACK + 1])
+    # Rows: open blocks with hashes, settled blocks, runs of settled windows of a block.
+    heads = np.flatnonzero(np.diff(gone, prepend=-2) != 1) if len(gone) else gone
+    heads = np.union1d(heads, np.flatnonzero(np.diff(block[gone]) != 0) + 1).astype(np.int64)
+    runs, long_runs = gone[heads], np.diff(np.append(heads, len(gone)))
+    none = pa.nulls(len(done) + len(runs), pa.list_(pa.int64()))
+    rows = np.concatenate([done, block[runs]])
+    spans = np.concatenate([span[done], place[runs] * PACK + long_runs])
     names = np.concatenate([name[open_], _spread(ids[rows], spans).view(np.int64)])
     where = np.concatenate([open_, rows])
     columns = [pa.array(names), pa.array(ids[where]), pa.array(tags[where]), pa.array(np.concatenate([span[open_], spans])), pa.concat_arrays([lists.take(pa.array(open_)), none])]
