@@ -30,7 +30,7 @@ END_ID = 1
 CHUNK = 8
 RANK_BLOCK = 512
 #: Texts that one worker holds as Python objects at a time.
-SLICE_ROWS = 200
+SLICE_ROWS = 500
 MAGIC = b"DAC1"
 
 

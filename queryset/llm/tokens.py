@@ -15,15 +15,15 @@ from array import array
 import numpy as np
 
 #: Words kept by one worker, in two tables: when the newer one is full it becomes the older one, and words still in use move over.
-MAX_WORDS = 300_000
+MAX_WORDS = 600_000
 #: Longer words are encoded each time and not kept.
 MAX_WORD_BYTES = 64
 #: New words handed to the library in one call.
 CALL_WORDS = 1 << 14
 
-#: A stop after a letter and before white space: a token of its own, so that "word," needs no entry beside "word".
-STOP = re.compile(rb"([a-z])([.,])(?=[ \n])")
-PROBES = [("Word, WORD. x", "word , word . x"), ("ÀB. É,", "Àb. É,"), ("the.\n", "the .\n")]
+#: Letters and then marks: two runs of tokens. No apostrophe (contractions) and no < (special tokens).
+LETTERS_MARKS = re.compile(rb"([a-z]+)([!-&(-/:;=-@\[-`{-~]+)")
+PROBES = [("Word, WORD. x", "word , word . x"), ("ÀB. É,", "Àb. É,"), ("the.\n**", "the . **"), ("thee!!", "thee !!")]
 
 
 def default_path() -> str:
@@ -45,12 +45,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        #: The vocabulary makes no difference of case, and ends a token between a letter and a comma.
+        #: The vocabulary makes no difference of case, and ends a token between letters and marks.
         self.folds = all(self.whole(a) == self.whole(b) for a, b in PROBES)
 
     def whole(self, text: str) -> bytes:
@@ -77,19 +78,32 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip([0, *cuts[:-1]], cuts)]
 
+    def _plain(self, word: bytes) -> bytes:
+        """Ids of lower-case ASCII letters, which need no normalising or splitting."""
+        return array("I", [t.id for t in self.tokenize(word.decode("ascii"))]).tobytes()
+
     def _learn(self, words: list[bytes]) -> None:
-        simple = [w for w in words if w.isalpha() and w.islower()] if self.folds else []  # ASCII letters: one token run, nothing to normalise
-        tokenize, kept = self.tokenizer.model.tokenize, self.ids
-        for w in simple:
-            kept[w] = array("I", [t.id for t in tokenize(w.decode("ascii"))]).tobytes()
-        words = [w for w in words if w not in kept]
-        texts = [w.decode("utf-8") for w in words]
+        kept, others = self.ids, []
+        for w in words:
+            if not self.folds:
+                others.append(w)
+            elif w.isalpha() and w.islower():
+                if w not in kept:
+                    kept[w] = self._plain(w)
+            elif marked := LETTERS_MARKS.fullmatch(w):
+                letters, marks = marked.groups()
+                for part in (letters, marks):
+                    if part not in kept:
+                        kept[part] = self._plain(part) if part is letters else self.whole(part.decode("ascii"))
+                kept[w] = kept[letters] + kept[marks]
+            else:
+                others.append(w)
+        texts = [w.decode("utf-8") for w in others]
         plain = [t.isalpha() and t.lower().isalpha() for t in texts]
-        letters = [(w, t) for w, t, x in zip(words, texts, plain) if x]
-        for part in _calls(letters):
+        for part in _calls([(w, t) for w, t, x in zip(others, texts, plain) if x]):
             found = self._encode_letters([t for _, t in part]) or self._encode_joined([w for w, _ in part])
             kept.update(zip((w for w, _ in part), found))
-        for part in _calls([w for w, x in zip(words, plain) if not x]):
+        for part in _calls([w for w, x in zip(others, plain) if not x]):
             kept.update(zip(part, self._encode_joined(part)))
 
     def _split(self, text: str | bytes | None) -> list[bytes]:
@@ -97,7 +111,7 @@ class WordEncoder:
             return []
         data = text if isinstance(text, bytes) else text.encode("utf-8", "replace")
         if self.folds and b"<|" not in data:  # else a special token's string might arise
-            data = STOP.sub(rb"\1 \2", data.lower())
+            data = data.lower()
         return data.split()
 
     def encode_many(self, texts: list[str | bytes | None]) -> list[bytes]:
