@@ -12,6 +12,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where none is set (tests, one machine)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="queryset-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
