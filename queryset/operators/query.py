@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, MapType
 from queryset.errors import CardinalityError, TranslationError
 from queryset.functions.expr import Expr, Fields, column
 from queryset.operators.rows import Entity, EntityRow, Record, Related, Scalar, Scope, entity_frame, fresh, type_is
-from queryset.sources.model import Collection, EntityType, Reference
+from queryset.sources.model import EntityType, Reference
 
 
 #: Sequence operators that are refused.
