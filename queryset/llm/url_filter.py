@@ -14,9 +14,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from queryset.llm.scratch import written
 from queryset.llm.urls import host_of, path_of
 
 BUCKETS = 1 << 16
@@ -43,8 +44,17 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 
 def lexicon(counts: DataFrame, size: int) -> dict[str, float]:
-    """Log probabilities of the ``size`` most frequent words (ties by the word); the size bounds what is broadcast."""
-    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    """Log probabilities of the ``size`` most frequent words (ties by the word); the size bounds what is gathered and broadcast.
+
+    The cut is found in the histogram of counts, which has few rows; then only words above
+    it, and the first of those at it, reach the driver, whatever the number of tasks.
+    """
+    counts = written(counts, "words")
+    upto = F.sum("words").over(Window.orderBy(F.desc("n")))
+    histogram = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("upto", upto)
+    cut = histogram.where(F.col("upto") >= size).agg(F.max("n").alias("n")).first()["n"] or 0
+    top = counts.where(F.col("n") > cut).collect()
+    top += counts.where(F.col("n") == cut).orderBy("word").limit(size - len(top)).collect()
     total = sum(r["n"] for r in top) or 1
     return {r["word"]: math.log(r["n"] / total) for r in top}
 

@@ -215,6 +215,14 @@ def test_viterbi_equals_all_splits():
     assert url_filter.segment("newspaper", words) == ["new", "s", "paper"] or url_filter.segment("newspaper", words) == ["news", "paper"]
 
 
+@pytest.mark.parametrize("size", [1, 3, 4, 5, 6, 99])
+def test_lexicon_holds_the_most_frequent_words(spark, size):
+    rows = [("a", 9), ("b", 5), ("c", 5), ("d", 5), ("e", 2), ("f", 2)]
+    found = url_filter.lexicon(spark.createDataFrame(rows, "word string, n long"), size)
+    assert set(found) == {w for w, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:size]}
+    assert sum(map(np.exp, found.values())) == pytest.approx(1)
+
+
 def test_naive_bayes_learns_from_rules(spark):
     rows = [(k, f"http://buy{k}.net/cheap/pills", "<p>x</p>") for k in range(30)] + [(100 + k, f"http://read{k}.org/fr/good", "<p>x</p>") for k in range(30)] + [(900, "http://z.com/cheap/pills", ""), (901, "http://z.com/fr/good", "")]
     found = {r["page_id"]: r["verdict"] for r in url_filter.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
