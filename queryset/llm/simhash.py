@@ -23,6 +23,8 @@ from queryset.llm.scratch import free, written
 
 BITS = 64
 SEED = 42
+#: Clusters of more distinct fingerprints have a table of their own; results do not depend on it.
+DENSE = 64
 
 
 def fingerprint_of(text: str | None, shingle_words: int = 4) -> int:
@@ -110,19 +112,39 @@ def _star_links(points: DataFrame, radius: int) -> DataFrame:
     return rows.join(hubs, ["t", "key"]).where((F.col("f1") != F.col("f2")) & _near(radius)).select(F.col("f1").alias("a"), F.col("f2").alias("b")).distinct()
 
 
+def _with_dense(points: DataFrame, dense: int) -> DataFrame:
+    """``fp, cluster, group``: the group is the cluster for members of clusters of over ``dense`` fingerprints, else null."""
+    sizes = points.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > dense)
+    return points.join(sizes.select("cluster", F.col("cluster").alias("group")), "cluster", "left").select("fp", "cluster", "group")
+
+
 def _index_links(points: DataFrame, radius: int, count: int) -> DataFrame:
-    """Links between clusters (column ``cluster``) that the segment tables show."""
+    """Links between clusters (column ``cluster``) that the segment tables show.
+
+    Members of a dense cluster (column ``group``) stand in a table of their own within
+    each bucket, which is asked by probes of other clusters only. So the work of a bucket
+    never grows with the square of a dense cluster.
+    """
     parts = segments(count, radius)
     tables = [(t, mask, 0) for t, (mask, _) in enumerate(parts)]
     probes = [(t, mask, x) for t, (mask, ball) in enumerate(parts) for x in _balls(mask, ball)]
 
     def keyed(rows, f, c):
-        x = points.select(F.col("fp").alias(f), F.col("cluster").alias(c), F.explode(_struct_array(rows)).alias("k"))
-        return x.select(f, c, F.col("k.t").alias("t"), F.col(f).bitwiseXOR(F.col("k.flip")).bitwiseAND(F.col("k.mask")).alias("key"))
+        x = points.select(F.col("fp").alias(f), F.col("cluster").alias(c), "group", F.explode(_struct_array(rows)).alias("k"))
+        return x.select(f, c, "group", F.col("k.t").alias("t"), F.col(f).bitwiseXOR(F.col("k.flip")).bitwiseAND(F.col("k.mask")).alias("key"))
+
+    table, probe = keyed(tables, "f2", "c2"), keyed(probes, "f1", "c1").drop("group")
+    links = _probed(probe, table.where("group IS NULL").drop("group"), ["t", "key"], radius)
+    groups = table.where("group IS NOT NULL").select("t", "key", "group").distinct()
+    asked = probe.join(groups, ["t", "key"]).where("c1 <> group")
+    links = links.union(_probed(asked, table.where("group IS NOT NULL"), ["t", "key", "group"], radius))
+    return links.distinct()
+
 
-    table, probe = keyed(tables, "f2", "c2"), keyed(probes, "f1", "c1")
-    on = (probe["t"] == table["t"]) & (probe["key"] == table["key"]) & (F.col("f1") < F.col("f2")) & (F.col("c1") != F.col("c2")) & _near(radius)
-    return probe.join(table, on).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
+def _probed(probe: DataFrame, table: DataFrame, keys: list[str], radius: int) -> DataFrame:
+    """Verified links that a table shows, each from the end with the lesser fingerprint."""
+    found = probe.join(table, keys).where((F.col("f1") < F.col("f2")) & (F.col("c1") != F.col("c2")) & _near(radius))
+    return found.select(F.col("c1").alias("a"), F.col("c2").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,6 +163,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle_words: int = 4, id
     points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
     stars = connected_components(_star_links(points.select("fp"), radius))
     joined = points.select("fp").join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("cluster"))
+    joined = written(_with_dense(joined, DENSE), "clusters")
     links = _index_links(joined, radius, best_segments(points.count(), radius))
     merged = connected_components(links).select(F.col("node").alias("cluster"), F.col("component").alias("top"))
     label = joined.join(merged, "cluster", "left").select("fp", F.coalesce("top", "cluster").alias("top"))

@@ -90,8 +90,10 @@ def test_near_duplicates_equal_brute_force(docs):
     assert run(docs(*rows)) == brute([(k, plain(t)) for k, t in rows])
 
 
-def test_dense_cluster_of_fingerprints(spark, monkeypatch, docs):
+@pytest.mark.parametrize("dense", [0, 3, 10**9])
+def test_dense_cluster_of_fingerprints(spark, monkeypatch, docs, dense):
     """Many fingerprints around few centres; links between them are chains as well."""
+    monkeypatch.setattr(simhash, "DENSE", dense)
     made = np.random.default_rng(8)
     centres = made.integers(0, 1 << 63, 5)
     values = [int(centres[k % 5]) for k in range(400)]
