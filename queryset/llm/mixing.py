@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from queryset.llm.scratch import free, written
 
-#: Mean rows of a pattern in one bucket of the seeded order. The cut falls into one bucket, whose rows alone are put in exact order.
+#: Mean rows of a pattern in one bucket of the seeded order. Rows are put in exact order only in the bucket of the cut and in later ones that hold a document that fits.
 BUCKET_ROWS = 2_000
+#: So many buckets of a pattern are filled in one round.
+ROUND = 4
 
 
 def targets(sizes: dict, weights: dict, max_repeats: int) -> dict:
@@ -97,10 +99,14 @@ def min_cost_flow(supply: list[int], quota: list[int], members: list[list[int]],
     return flow
 
 
+def _words(text_col: str = "text"):
+    """The number of words, 0 for null."""
+    return F.size(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).cast("long")
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``doc_id, source, size``: size is the number of words, 0 for null."""
-    n = F.size(F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), n.cast("long").alias("size"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), _words(text_col).alias("size"))
 
 
 def _totals(rows: DataFrame, max_patterns: int) -> list:
@@ -121,8 +127,9 @@ def mix(rows: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17
     Returns the rows with ``copies`` and ``taken`` (copies times size), the targets by
     source, and the flow {(pattern, source): words}. Every document of a pattern gets the
     pattern's whole repetitions; documents get one copy more in seeded order while their
-    words fit into what is left (whole buckets of the order first, then one by one within
-    the bucket of the cut, passing over documents that are too large). No document exceeds ``max_repeats`` copies. Reruns
+    words fit into what is left (whole buckets of the order first, then one by one from
+    the bucket of the cut to the last, passing over documents that are too large). The
+    choice within a pattern depends on its own rows and quota only. No document exceeds ``max_repeats`` copies. Reruns
     agree. Documents of size zero, or without a source, are kept with nothing taken; an
     empty table gives no rows; repeated rows each count.
     """
@@ -137,40 +144,57 @@ def mix(rows: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17
     plan = []
     for p, r in enumerate(found):
         total, words = sum(v for (q, _), v in flow.items() if q == p), max(1, r["words"])
-        plan.append((list(r["pattern"]), total // words, total % words))
-    quota = spark.createDataFrame(plan, "pattern array<string>, base long, rest long").select(F.to_json("pattern").alias("key"), "base", "rest")
+        plan.append((list(r["pattern"]), total // words, total % words, -(-r["n"] // BUCKET_ROWS)))
+    quota = spark.createDataFrame(plan, "pattern array<string>, base long, rest long, buckets long").select(F.to_json("pattern").alias("key"), "base", "rest", "buckets")
     routed = {(tuple(found[p]["pattern"]), order[s]): v for (p, s), v in flow.items()}
-    buckets = max([1, *(-(-r["n"] // BUCKET_ROWS) for r in found)])
-    return _select(rows.withColumn("key", F.to_json("pattern")), quota, seed, buckets), goal, routed
+    return _select(rows.withColumn("key", F.to_json("pattern")), quota, seed), goal, routed
 
 
-def _select(rows: DataFrame, quota: DataFrame, seed: int, buckets: int) -> DataFrame:
+def _select(rows: DataFrame, quota: DataFrame, seed: int) -> DataFrame:
     """Which documents get one copy more."""
-    # A row's place depends on the row alone; equal rows share a place and are interchangeable.
+    # A row's place depends on the row and its pattern's size alone; equal rows share a place and are interchangeable.
+    quota = F.broadcast(quota)  # at most max_patterns rows
     rows = rows.withColumn("mark", F.xxhash64(F.lit(seed), "key", F.coalesce("doc_id", F.lit(-1)), "size"))
-    rows = rows.withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
-    filled = rows.groupBy("key", "bucket").agg(F.sum("size").alias("words"))
+    rows = rows.join(quota, "key", "left").withColumn("bucket", F.coalesce(F.pmod("mark", "buckets"), F.lit(0))).drop("buckets")
+    rows = rows.withColumn("base", F.coalesce("base", F.lit(0).cast("long")))
+    filled = rows.where("size > 0 AND rest > 0").groupBy("key", "bucket").agg(F.sum("size").alias("words"), F.min("size").alias("least"), F.first("rest").alias("rest"))
+    filled = written(filled, "filled")
     upto = F.sum("words").over(Window.partitionBy("key").orderBy("bucket"))
-    crossing = filled.withColumn("upto", upto).join(quota, "key").where("upto > rest")
-    cut = crossing.groupBy("key").agg(F.min("bucket").alias("cut"), F.min(F.col("upto") - F.col("words")).alias("before"))
-    plan = F.broadcast(quota.join(cut, "key", "left"))  # at most max_patterns rows
-    placed = rows.join(plan, "key", "left").withColumn("base", F.coalesce("base", F.lit(0).cast("long")))
-    at_cut = (F.col("bucket") == F.coalesce("cut", F.lit(-1))) & (F.col("size") > 0)
-    below = (F.coalesce("rest", F.lit(0)) > 0) & (F.col("size") > 0) & (F.col("cut").isNull() | (F.col("bucket") < F.col("cut")))
-    others = placed.where(~at_cut).withColumn("more", below.cast("long"))
+    crossing = filled.withColumn("upto", upto).where("upto > rest")
+    cut = written(crossing.groupBy("key").agg(F.min("bucket").alias("cut"), F.min(F.col("upto") - F.col("words")).alias("before"), F.first("rest").alias("rest")), "cut")
+    names = rows.columns
 
     def fit(frame):
-        frame = frame.sort_values(["mark", "doc_id", "size"], kind="stable")
-        left, more = int(frame["rest"].iloc[0] - frame["before"].iloc[0]), []
+        frame = frame.sort_values(["bucket", "mark", "doc_id", "size"], kind="stable")
+        left, more = int(frame["left"].iloc[0]), []
         for n in frame["size"]:
             more.append(int(n <= left))
             left -= n * more[-1]
-        return frame.assign(more=more)[names]
+        return frame.assign(more=more)[[*names, "more"]]
 
-    names = others.columns
-    inside = placed.where(at_cut).groupBy("key").applyInPandas(fit, others.schema)
-    out = others.unionByName(inside).withColumn("copies", F.col("base") + F.col("more"))
-    return out.withColumn("taken", F.col("copies") * F.col("size")).drop("key", "mark", "bucket", "base", "rest", "cut", "before", "more")
+    kind = rows.withColumn("more", F.lit(0).cast("long")).schema
+    inside, seen = None, filled.select("key", "bucket").where("false")
+    state = cut.select("key", (F.col("cut") - 1).alias("at"), (F.col("rest") - F.col("before")).alias("left"))
+    while True:
+        # The next buckets that hold a document that fits; each round leaves less or passes them.
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("bucket"))
+        ahead = filled.join(F.broadcast(state), "key").where("bucket > at AND least <= left").withColumn("rank", rank).where(F.col("rank") <= ROUND)
+        ahead = written(ahead.select("key", "bucket", "left"), "ahead")
+        if ahead.isEmpty():
+            break
+        fitted = rows.where("size > 0").join(F.broadcast(ahead), ["key", "bucket"]).groupBy("key").applyInPandas(fit, kind)
+        fitted = written(fitted, "fitted")
+        inside = fitted if inside is None else inside.unionByName(fitted)
+        seen = seen.union(ahead.select("key", "bucket"))
+        passed = ahead.groupBy("key").agg(F.max("bucket").alias("at"), F.first("left").alias("left"))
+        took = fitted.groupBy("key").agg(F.sum(F.col("more") * F.col("size")).alias("took"))
+        state = written(passed.join(took, "key").select("key", "at", (F.col("left") - F.col("took")).alias("left")), "left")
+    placed = rows.join(F.broadcast(cut.select("key", "cut")), "key", "left").join(F.broadcast(seen.withColumn("seen", F.lit(True))), ["key", "bucket"], "left")
+    below = (F.coalesce("rest", F.lit(0)) > 0) & (F.col("size") > 0) & (F.col("cut").isNull() | (F.col("bucket") < F.col("cut")))
+    others = placed.where((F.col("size") == 0) | F.col("seen").isNull()).withColumn("more", below.cast("long")).select(*names, "more")
+    out = others if inside is None else others.unionByName(inside)
+    out = out.withColumn("copies", F.col("base") + F.col("more"))
+    return out.withColumn("taken", F.col("copies") * F.col("size")).drop("key", "mark", "bucket", "base", "rest", "more")
 
 
 def mix_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17) -> DataFrame:

@@ -64,3 +64,35 @@ def test_odd_rows(spark, odd, empty):
     assert len(found) == odd.count() and mixing.mix_documents(empty).count() == 0
     assert all(r["taken"] == 0 for r in found if r["size"] == 0)
     assert mixing.mixed_documents(odd).columns == odd.columns
+
+
+def test_small_source_does_not_depend_on_a_hot_one(spark, monkeypatch):
+    """The hot source dealt the small one into buckets of a few rows, and a long document at the cut ended it short."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 8)
+    small = [(k, 400 if k % 3 == 0 else 1 + k % 5, ["a"]) for k in range(60)]
+    hot = [(1000 + k, 10, ["b"]) for k in range(900)]
+    words, quota = sum(n for _, n, _ in small), 2501
+
+    def taken(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, size long, pattern array<string>").withColumn("key", F.to_json("pattern"))
+        plan = [(p, 0, quota, -(-sum(r[2] == [p] for r in rows) // 8)) for p in sorted({r[2][0] for r in rows})]
+        plan = spark.createDataFrame(plan, "p string, base long, rest long, buckets long").select(F.to_json(F.array("p")).alias("key"), "base", "rest", "buckets")
+        found = mixing._select(frame, plan, 17).collect()
+        assert len(found) == len(rows)
+        return {r["doc_id"]: r["taken"] for r in found if r["pattern"] == ["a"]}
+
+    alone = taken(small)
+    assert alone == taken(small + hot)
+    left = quota - sum(alone.values())
+    assert words > quota and left >= 0 and all(n > left for k, n, _ in small if not alone[k])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_document_that_fits_is_left(spark, docs, monkeypatch, seed):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    frame = docs(*((k, "w " * (300 if k % 5 == 0 else 1 + k % 3), "en", "a" if k < 80 else "b") for k in range(600)))
+    found = mixing.mix_documents(frame, seed=seed).toPandas()
+    for _, rows in found.groupby("source"):
+        left = rows.target.iloc[0] - rows.taken.sum()
+        more = rows.copies > rows.copies.min()
+        assert more.all() or not more.any() or (rows["size"][~more] > left).all()
