@@ -428,6 +428,17 @@ def _(ctx):
     return ordered.take(40).select(lambda p: record(p_partkey=p.p_partkey, p_brand=p.p_brand, p_size=p.p_size))
 
 
+@register("order_by_all", "SELECT p_partkey, p_size FROM part ORDER BY p_size NULLS FIRST, p_partkey")
+def _(ctx):
+    return ctx.part.order_by(lambda p: p.p_size).then_by(lambda p: p.p_partkey).select(lambda p: record(p_partkey=p.p_partkey, p_size=p.p_size))
+
+
+@register("then_by_all", "SELECT p_partkey, p_brand, p_size FROM part ORDER BY p_brand NULLS FIRST, p_size DESC NULLS LAST, p_partkey")
+def _(ctx):
+    ordered = ctx.part.order_by(lambda p: p.p_brand).then_by(lambda p: p.p_size, desc=True).then_by(lambda p: p.p_partkey)
+    return ordered.select(lambda p: record(p_partkey=p.p_partkey, p_brand=p.p_brand, p_size=p.p_size))
+
+
 @register("skip_take_page", "SELECT p_partkey, p_name FROM part ORDER BY p_size NULLS FIRST, p_partkey LIMIT 20 OFFSET 40")
 def _(ctx):
     return ctx.part.order_by(lambda p: p.p_size).then_by(lambda p: p.p_partkey).skip(40).take(20).select(lambda p: record(p_partkey=p.p_partkey, p_name=p.p_name))
@@ -468,6 +479,11 @@ def _(ctx):
     return ctx.nation.order_by(lambda n: n.n_nationkey).reverse().take(5).select(lambda n: record(n_nationkey=n.n_nationkey))
 
 
+@register("reverse_ordered_all", "SELECT n_nationkey FROM nation ORDER BY n_nationkey DESC")
+def _(ctx):
+    return ctx.nation.order_by(lambda n: n.n_nationkey).reverse().select(lambda n: record(n_nationkey=n.n_nationkey))
+
+
 @register("query_contains", "SELECT EXISTS (SELECT 1 FROM nation WHERE n_name = 'NATION_3') AS found, EXISTS (SELECT 1 FROM nation WHERE n_name = 'ATLANTIS') AS missing")
 def _(ctx):
     names = ctx.nation.select(lambda n: n.n_name)

@@ -22,3 +22,12 @@ def test_entry_runs(spark):
     assert __spark_entry__.entry(spark).count() == 5
     assert set(catalog.queries()) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize(("name", "table"), [("order_by_all", "part"), ("then_by_all", "part"), ("reverse_ordered_all", "nation")])
+def test_whole_table_in_order(name, table, spark, duck, sf_dir):
+    found = catalog.queries()[name](spark, sf_dir)
+    assert list(map(tuple, found.collect())) == duck.execute(SQL[name]).fetchall()
+    assert found.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "TakeOrdered" not in plan
