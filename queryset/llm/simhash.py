@@ -27,16 +27,23 @@ SEED = 42
 DENSE = 64
 
 
-def fingerprint_of(text: str | None, shingle_words: int = 4) -> int:
-    """Unsigned fingerprint of one text; a text without words has fingerprint zero."""
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """Hashes of all shingles of one text, in order; a text of fewer words is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII space only
     if not words:
-        return 0
+        return np.array([], "<u8")
     joined, k = b" ".join(words), min(shingle_words, len(words))
     ends = [x - 1 for x in accumulate(len(w) + 1 for w in words)]
     starts = [0, *(x + 1 for x in ends[:-1])]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :])], dtype="<u8")
+    return np.array([digest(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :])], dtype="<u8")
+
+
+def fingerprint_of(text: str | None, shingle_words: int = 4) -> int:
+    """Unsigned fingerprint of one text; a text without words has fingerprint zero."""
+    hashes = shingle_hashes(text, shingle_words)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
