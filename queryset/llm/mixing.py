@@ -10,12 +10,12 @@ bounded by ``max_patterns``, which is checked.
 
 from __future__ import annotations
 
-import heapq
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from queryset.llm.scratch import free, written
+from queryset.llm.scratch import free, row_hash, written
 
 #: Mean rows of a pattern in one bucket of the seeded order. Rows are put in exact order only in the bucket of the cut and in later ones that hold a document that fits.
 BUCKET_ROWS = 2_000
@@ -47,56 +47,65 @@ def min_cost_flow(supply: list[int], quota: list[int], members: list[list[int]],
     """{(pattern, source): words} of least convex repetition cost among the largest flows.
 
     Pattern p offers ``supply[p]`` words at cost 0, as many again at cost 1, and so on up
-    to ``max_repeats``. Successive shortest paths with potentials over a graph whose size
-    depends on patterns and sources only.
+    to ``max_repeats``. Nothing else costs, so a cheapest path costs what its first edge
+    does, and cheapest paths never become cheaper as the flow grows. So the offers open
+    in the order of cost, and each time the flow is made as large as it can be by
+    blocking flows. Paths are pushed many at a time, over a graph whose size depends on
+    patterns and sources only.
     """
     n, m = len(supply), len(quota)
-    source, sink, graph, edges = n + m, n + m + 1, [[] for _ in range(n + m + 2)], []
-
-    def edge(u: int, v: int, room: int, cost: int) -> None:
-        graph[u].append(len(edges))
-        edges.append([v, room, cost])
-        graph[v].append(len(edges))
-        edges.append([u, 0, -cost])
-
-    for p in range(n):
-        for repeat in range(max_repeats):
-            edge(source, p, supply[p], repeat)
-        for s in members[p]:
-            edge(p, n + s, max_repeats * supply[p], 0)
+    source, sink, graph = n + m, n + m + 1, [[] for _ in range(n + m + 2)]
+    to: list[int] = []
+    room: list[int] = []
+
+    def edge(u: int, v: int, size: int) -> int:
+        for a, b, r in ((u, v, size), (v, u, 0)):
+            graph[a].append(len(to))
+            to.append(b)
+            room.append(r)
+        return len(to) - 2
+
+    offers = [edge(source, p, 0) for p in range(n)]
+    routes = {(p, s): edge(p, n + s, max_repeats * supply[p]) for p in range(n) for s in members[p]}
     for s in range(m):
-        edge(n + s, sink, quota[s], 0)
-    potential = [0] * len(graph)
-    while True:
-        far, via, heap = {source: 0}, {}, [(0, source)]
-        while heap:
-            d, u = heapq.heappop(heap)
-            if d > far[u]:
-                continue
-            for k in graph[u]:
-                v, room, cost = edges[k]
-                if room > 0 and (x := d + cost + potential[u] - potential[v]) < far.get(v, 1 << 60):
-                    far[v], via[v] = x, k
-                    heapq.heappush(heap, (x, v))
-        if sink not in far:
-            break
-        for v in range(len(graph)):
-            potential[v] += min(far.get(v, far[sink]), far[sink])
-        path, v = [], sink
-        while v != source:
-            path.append(via[v])
-            v = edges[via[v] ^ 1][0]
-        amount = min(edges[k][1] for k in path)
-        for k in path:
-            edges[k][1] -= amount
-            edges[k ^ 1][1] += amount
-    flow = {}
-    for p in range(n):
-        for k in graph[p]:
-            v = edges[k][0]
-            if k % 2 == 0 and n <= v < n + m and edges[k ^ 1][1]:
-                flow[p, v - n] = edges[k ^ 1][1]
-    return flow
+        edge(n + s, sink, quota[s])
+
+    def levels() -> list[int]:
+        found, front = [-1] * len(graph), [source]
+        found[source] = 0
+        while front and found[sink] < 0:
+            ahead = []
+            for u in front:
+                for k in graph[u]:
+                    if room[k] > 0 and found[to[k]] < 0:
+                        found[to[k]] = found[u] + 1
+                        ahead.append(to[k])
+            front = ahead
+        return found
+
+    for _ in range(max_repeats):
+        for p, k in enumerate(offers):
+            room[k] += supply[p]
+        while (level := levels())[sink] >= 0:
+            at, path, u = [0] * len(graph), [], source
+            while True:
+                if u == sink:
+                    amount = min(room[k] for k in path)
+                    for k in path:
+                        room[k] -= amount
+                        room[k ^ 1] += amount
+                    path, u = [], source
+                while at[u] < len(graph[u]) and not (room[graph[u][at[u]]] > 0 and level[to[graph[u][at[u]]]] == level[u] + 1):
+                    at[u] += 1
+                if at[u] < len(graph[u]):
+                    path.append(graph[u][at[u]])
+                    u = to[path[-1]]
+                elif path:
+                    u = to[path.pop() ^ 1]
+                    at[u] += 1
+                else:
+                    break
+    return {pair: room[k ^ 1] for pair, k in routes.items() if room[k ^ 1]}
 
 
 def _words(text_col: str = "text"):
@@ -105,8 +114,8 @@ def _words(text_col: str = "text"):
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, size``: size is the number of words, 0 for null."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), _words(text_col).alias("size"))
+    """``doc_id, source, size, row``: size is the number of words, 0 for null; row is a hash of all columns."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), _words(text_col).alias("size"), row_hash(docs).alias("row"))
 
 
 def _totals(rows: DataFrame, max_patterns: int) -> list:
@@ -121,7 +130,8 @@ def mix(rows: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17
     """Select documents so that each source's words come near its target.
 
     ``rows`` has ``doc_id, size, pattern`` (array of the sources that a document belongs
-    to; a null element is a source of its own). ``weights`` is a dict by source, or a
+    to; a null element is a source of its own), and may have ``row``, a hash that tells
+    rows of equal id and size apart. ``weights`` is a dict by source, or a
     sequence that repeats over the sources in code point order, null last.
 
     Returns the rows with ``copies`` and ``taken`` (copies times size), the targets by
@@ -140,10 +150,12 @@ def mix(rows: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17
     within = {s: sum(r["words"] for r in found if s in r["pattern"]) for s in order}
     goal = targets(within, {s: by_source[s] for s in order}, max_repeats) if order else {}
     index = {s: k for k, s in enumerate(order)}
-    flow = min_cost_flow([r["words"] for r in found], [round(goal[s]) for s in order], [[index[s] for s in r["pattern"]] for r in found], max_repeats)
-    plan = []
-    for p, r in enumerate(found):
-        total, words = sum(v for (q, _), v in flow.items() if q == p), max(1, r["words"])
+    flow = min_cost_flow([r["words"] for r in found], [math.floor(goal[s] + 1e-6) for s in order], [[index[s] for s in r["pattern"]] for r in found], max_repeats)
+    plan, sent = [], [0] * len(found)
+    for (p, _), v in flow.items():
+        sent[p] += v
+    for total, r in zip(sent, found):
+        words = max(1, r["words"])
         plan.append((list(r["pattern"]), total // words, total % words, -(-r["n"] // BUCKET_ROWS)))
     quota = spark.createDataFrame(plan, "pattern array<string>, base long, rest long, buckets long").select(F.to_json("pattern").alias("key"), "base", "rest", "buckets")
     routed = {(tuple(found[p]["pattern"]), order[s]): v for (p, s), v in flow.items()}
@@ -154,7 +166,8 @@ def _select(rows: DataFrame, quota: DataFrame, seed: int) -> DataFrame:
     """Which documents get one copy more."""
     # A row's place depends on the row and its pattern's size alone; equal rows share a place and are interchangeable.
     quota = F.broadcast(quota)  # at most max_patterns rows
-    rows = rows.withColumn("mark", F.xxhash64(F.lit(seed), "key", F.coalesce("doc_id", F.lit(-1)), "size"))
+    told = ["row"] if "row" in rows.columns else []
+    rows = rows.withColumn("mark", F.xxhash64(F.lit(seed), "key", F.coalesce("doc_id", F.lit(-1)), "size", *told))
     rows = rows.join(quota, "key", "left").withColumn("bucket", F.coalesce(F.pmod("mark", "buckets"), F.lit(0))).drop("buckets")
     rows = rows.withColumn("base", F.coalesce("base", F.lit(0).cast("long")))
     filled = rows.where("size > 0 AND rest > 0").groupBy("key", "bucket").agg(F.sum("size").alias("words"), F.min("size").alias("least"), F.first("rest").alias("rest"))
@@ -165,7 +178,7 @@ def _select(rows: DataFrame, quota: DataFrame, seed: int) -> DataFrame:
     names = rows.columns
 
     def fit(frame):
-        frame = frame.sort_values(["bucket", "mark", "doc_id", "size"], kind="stable")
+        frame = frame.sort_values(["bucket", "mark", "doc_id", "size", *told], kind="stable")
         left, more = int(frame["left"].iloc[0]), []
         for n in frame["size"]:
             more.append(int(n <= left))
@@ -197,15 +210,21 @@ def _select(rows: DataFrame, quota: DataFrame, seed: int) -> DataFrame:
     return out.withColumn("taken", F.col("copies") * F.col("size")).drop("key", "mark", "bucket", "base", "rest", "more")
 
 
+def _chosen(docs: DataFrame, weights, max_repeats: int, seed: int) -> tuple[DataFrame, DataFrame, dict]:
+    """What mix() makes of documents of one source each, their sizes, and the targets."""
+    rows = written(sizes(docs), "sizes")
+    chosen, goal, _ = mix(rows.withColumn("pattern", F.array("source")), weights, max_repeats, seed)
+    return chosen, rows, goal
+
+
 def mix_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every document, each of one source (null is a source).
+    """``doc_id, source, size, source_size, target, copies, taken`` of every document, each of one source (null is a source).
 
     Null and empty texts have size 0 and nothing is taken of them; repeated rows each
-    count; other columns are ignored; an empty table gives no rows.
+    count; other columns only tell rows of equal id and size apart; an empty table gives no rows.
     """
-    rows = written(sizes(docs), "sizes")
     spark = docs.sparkSession
-    chosen, goal, _ = mix(rows.withColumn("pattern", F.array("source")), weights, max_repeats, seed)
+    chosen, rows, goal = _chosen(docs, weights, max_repeats, seed)
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = spark.createDataFrame([(s, t) for s, t in goal.items()], "source string, target double")
     per = per.join(goals, per["source"].eqNullSafe(goals["source"]), "left").select(per["source"], "source_size", F.coalesce("target", F.lit(0.0)).alias("target"))
@@ -214,8 +233,20 @@ def mix_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed
 
 
 def mixed_documents(docs: DataFrame, weights=(1, 2, 3), max_repeats: int = 3, seed: int = 17) -> DataFrame:
-    """The documents that the mix takes, each as often as it takes it; columns as they came."""
-    key, copies, copy = (free(docs, n) for n in ("_key", "_copies", "_copy"))
-    chosen = mix_documents(docs, weights, max_repeats, seed).groupBy("doc_id").agg(F.max("copies").alias(copies)).withColumnRenamed("doc_id", key)
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen[key])).where(F.col(copies) > 0)
-    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(key, copies, copy)
+    """The documents that the mix takes, each row as often as the mix takes it; columns as they came.
+
+    Rows are told apart by their id and a hash of all columns, so rows with equal or null
+    ids each have their own copies, and of equal rows the copies are added up. Documents
+    without words are not taken. An empty table gives no rows.
+    """
+    key, row, copies, rows, copy = (free(docs, n) for n in ("_key", "_row", "_copies", "_rows", "_copy"))
+    chosen = _chosen(docs, weights, max_repeats, seed)[0].groupBy("doc_id", "row").agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    chosen = written(chosen.where(F.col(copies) > 0).select(F.col("doc_id").alias(key), F.col("row").alias(f"{row}k"), copies, rows), "copies")
+    marked = docs.withColumn(row, row_hash(docs))
+
+    def taken(which) -> DataFrame:
+        some = chosen.where(which)
+        return marked.join(some, marked["doc_id"].cast("long").eqNullSafe(some[key]) & (marked[row] == some[f"{row}k"])).select(*marked.columns, copies)
+
+    once = taken(F.col(rows) == 1).unionByName(taken(F.col(rows) > 1).dropDuplicates(["doc_id", row]))
+    return once.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(docs.columns)

@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from queryset.llm.components import connected_components
-from queryset.llm.scratch import free, written
+from queryset.llm.scratch import by_key, free, row_hash, written
 
 BITS = 64
 SEED = 42
 #: Clusters of more distinct fingerprints have a table of their own; results do not depend on it.
 DENSE = 64
+#: Id of rows without one; it counts for no minimum.
+NO_ID = (1 << 63) - 1
 
 
 def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
@@ -41,7 +43,10 @@ def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
 
 def fingerprint_of(text: str | None, shingle_words: int = 4) -> int:
     """Unsigned fingerprint of one text; a text without words has fingerprint zero."""
-    hashes = shingle_hashes(text, shingle_words)
+    return fingerprint_of_hashes(shingle_hashes(text, shingle_words))
+
+
+def fingerprint_of_hashes(hashes: np.ndarray) -> int:
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, np.int64)
@@ -90,9 +95,12 @@ def _balls(mask: int, ball: int) -> list[int]:
 
 
 def best_segments(n: int, radius: int) -> int:
-    """The number of segments with least expected probes plus candidates; every choice finds all links."""
+    """The number of segments with least expected probes plus candidates; every choice finds all links.
+
+    No more segments than the radius, so that one segment at least has a ball to enumerate.
+    """
     cost = lambda m: sum(len(_balls(mask, ball)) * (1 + n / 2 ** bin(mask).count("1")) for mask, ball in segments(m, radius))
-    return min(range(max(2, radius // 2), radius + 2), key=cost)
+    return min(range(max(1, radius // 2), max(1, radius) + 1), key=cost)
 
 
 def _struct_array(rows: list[tuple[int, int, int]]):
@@ -119,10 +127,10 @@ def _star_links(points: DataFrame, radius: int) -> DataFrame:
     return rows.join(hubs, ["t", "key"]).where((F.col("f1") != F.col("f2")) & _near(radius)).select(F.col("f1").alias("a"), F.col("f2").alias("b")).distinct()
 
 
-def _with_dense(points: DataFrame, dense: int) -> DataFrame:
+def _with_dense(points: DataFrame, clusters: DataFrame, dense: int) -> DataFrame:
     """``fp, cluster, group``: the group is the cluster for members of clusters of over ``dense`` fingerprints, else null."""
-    sizes = points.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > dense)
-    return points.join(sizes.select("cluster", F.col("cluster").alias("group")), "cluster", "left").select("fp", "cluster", "group")
+    found = by_key(points.select("fp", "cluster"), clusters.select("cluster", "points"), "cluster", "points")
+    return written(found.select("fp", "cluster", F.when(F.col("points") > dense, F.col("cluster")).alias("group")), "groups")
 
 
 def _index_links(points: DataFrame, radius: int, count: int) -> DataFrame:
@@ -167,17 +175,21 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle_words: int = 4, id
     between different clusters only.
     """
     prints = written(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    points = prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("least"), F.count("*").alias("rows"))
+    points = written(points, "points")
     stars = connected_components(_star_links(points.select("fp"), radius))
-    joined = points.select("fp").join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("cluster"))
-    joined = written(_with_dense(joined, DENSE), "clusters")
-    links = _index_links(joined, radius, best_segments(points.count(), radius))
-    merged = connected_components(links).select(F.col("node").alias("cluster"), F.col("component").alias("top"))
-    label = joined.join(merged, "cluster", "left").select("fp", F.coalesce("top", "cluster").alias("top"))
-    placed = written(points.join(label, "fp"), "placed")
-    least = placed.groupBy("top").agg(F.min("least").alias("component_id"))
-    found = placed.join(least, "top").select("fp", "component_id")
-    return prints.join(found, "fp").select("doc_id", "fp", "component_id")
+    joined = points.join(stars.withColumnRenamed("node", "fp"), "fp", "left").withColumn("cluster", F.coalesce("component", "fp")).drop("component")
+    clusters = joined.groupBy("cluster").agg(F.count("*").alias("points"), F.min("least").alias("least"))
+    clusters = written(clusters.select("cluster", "points", F.struct("least", "cluster").alias("node")), "clusters")
+    joined = written(joined, "clustered")
+    links = _index_links(_with_dense(joined, clusters, DENSE), radius, best_segments(points.count(), radius))
+    for end in "ab":  # a component's label carries its least id
+        links = links.join(clusters.select(F.col("cluster").alias(end), F.col("node").alias(f"node_{end}")), end)
+    top = connected_components(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    label = clusters.join(top, "node", "left").select("cluster", "points", F.coalesce("component", "node")["least"].alias("component_id"))
+    placed = by_key(joined.select("fp", "rows", "cluster"), written(label, "labels"), "cluster", "points").select("fp", "rows", "component_id")
+    found = by_key(prints, written(placed, "placed"), "fp", "rows")
+    return found.select("doc_id", "fp", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
 
 
 def hex_fingerprint(column):
@@ -187,13 +199,13 @@ def hex_fingerprint(column):
 def one_of_each(docs: DataFrame, radius: int = 4, shingle_words: int = 4) -> DataFrame:
     """The documents, one of each near-duplicate component: the one with the least doc_id.
 
-    Of repeated rows with that id the first in the order of text, source and lang stays.
-    Rows without an id are kept. Columns are those of the input.
+    Of repeated rows with that id the one with the least hash of all its columns stays.
+    Rows without an id are all kept. Columns are those of the input, which may be any
+    beside doc_id and text; an empty table gives no rows.
     """
     found = near_duplicates(docs, radius, shingle_words)
     key, row = free(docs, "_key"), free(docs, "_row")
     keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
     kept = docs.join(keep, docs["doc_id"] == keep[key], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
-    first = kept.withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
+    first = kept.withColumn(row, F.row_number().over(Window.partitionBy("doc_id").orderBy(row_hash(docs)))).where(F.col(row) == 1).drop(row)
     return first.unionByName(docs.where("doc_id IS NULL"))

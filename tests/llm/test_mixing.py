@@ -96,3 +96,65 @@ def test_no_document_that_fits_is_left(spark, docs, monkeypatch, seed):
         left = rows.target.iloc[0] - rows.taken.sum()
         more = rows.copies > rows.copies.min()
         assert more.all() or not more.any() or (rows["size"][~more] > left).all()
+
+
+def brute_selection(rows, rest, buckets):
+    """Which of (doc_id, size, mark) get one copy more: whole buckets in order while all fit, then one by one."""
+    dealt = {}
+    for doc, size, mark in rows:
+        dealt.setdefault(mark % buckets, []).append((mark, doc, size))
+    took, left, whole = set(), rest, True
+    for bucket in sorted(dealt):
+        words = sum(size for *_, size in dealt[bucket])
+        whole = whole and words <= left
+        for _, doc, size in sorted(dealt[bucket]):
+            if size <= left:
+                took.add(doc)
+                left -= size
+    return took
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_overlapping_sources_equal_brute_force(spark, monkeypatch, seed):
+    """Patterns over four sources: the flow is the cheapest, and within each pattern the selection is that of the seeded order."""
+    import random
+
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    made = random.Random(seed)
+    patterns = [["a"], ["a", "b"], ["b", "c"], ["c"], ["a", "c", None]]
+    rows = [(k, made.choice([1, 2, 5, 60]), made.choice(patterns)) for k in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, size long, pattern array<string>")
+    chosen, goal, routed = mixing.mix(frame, {"a": 1, "b": 5, "c": 1, None: 2}, 3, seed)
+    found = {r["doc_id"]: r["copies"] for r in chosen.collect()}
+    keyed = frame.withColumn("key", F.to_json("pattern"))
+    marks = {r["doc_id"]: r["mark"] for r in keyed.select("doc_id", F.xxhash64(F.lit(seed), "key", "doc_id", "size").alias("mark")).collect()}
+    assert sum(routed.values()) == pytest.approx(min(sum(n for _, n, _ in rows) * 3, sum(goal.values())), abs=6)
+    for pattern in patterns:
+        own = [(k, n, marks[k]) for k, n, p in rows if p == pattern]
+        words, total = sum(n for _, n, _ in own), sum(v for (p, _), v in routed.items() if list(p) == pattern)
+        more = brute_selection(own, total % words, -(-len(own) // 7)) if total % words else set()
+        assert {k: found[k] for k, *_ in own} == {k: total // words + (k in more) for k, *_ in own}
+
+
+def test_flow_of_many_patterns_is_fast():
+    import random
+    import time
+
+    made = random.Random(5)
+    supply = [made.randrange(1, 10 ** made.randrange(1, 9)) for _ in range(2000)]
+    members = [sorted(made.sample(range(12), made.randrange(1, 6))) for _ in supply]
+    start = time.monotonic()
+    flow = mixing.min_cost_flow(supply, [sum(supply) // 6] * 12, members, 3)
+    assert time.monotonic() - start < 2 and sum(flow.values()) > sum(supply)
+
+
+def test_rows_with_repeated_and_null_ids_keep_their_own_copies(spark, docs):
+    """The words of the output are those that the mix takes, by source."""
+    rows = [(1, "w " * 3, "en", "x"), (1, "w " * 500, "en", "y"), (None, "a b c", "en", "x"), (None, "d e", "en", "y"), (None, "d e", "en", "y"), (2, "w " * 40, "en", "y"), (2, "v " * 40, "en", "y"), (3, None, "en", None)]
+    rows += [(10 + k, "w " * (1 + k % 9), "en", "xyz"[k % 3]) for k in range(60)]
+    frame = docs(*rows)
+    found = mixing.mix_documents(frame).groupBy("source").agg(F.sum("taken").alias("n"))
+    out = mixing.mixed_documents(frame)
+    got = mixing.sizes(out).groupBy("source").agg(F.sum("size").alias("n"))
+    assert out.schema == frame.schema
+    assert {r["source"]: r["n"] for r in got.collect()} == {r["source"]: r["n"] for r in found.collect() if r["n"]}

@@ -33,15 +33,40 @@ def made(seed):
     return texts
 
 
-@pytest.mark.parametrize("common", [0, 200_000])
-def test_near_copies_equal_brute_force(spark, docs, monkeypatch, common):
+@pytest.mark.parametrize(("common", "dense"), [(0, 16), (200_000, 2)])
+def test_near_copies_equal_brute_force(spark, docs, monkeypatch, common, dense):
     monkeypatch.setattr(near_copies, "COMMON", common)
+    monkeypatch.setattr(near_copies, "DENSE", dense)
     monkeypatch.setattr(near_copies, "COUNTED", 2)
     texts = made(common)
     found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs(*enumerate(texts)).repartition(5)).collect()}
     assert [found[k] for k in range(len(texts))] == brute(texts)
 
 
+def test_large_group_around_one_text(spark, docs):
+    """Most pairs of the group are below 0.8; links run through the text with few changes, or through chains."""
+    some = random.Random(3)
+    words = [f"w{some.randrange(900)}" for _ in range(150)]
+    texts = []
+    for k in range(300):
+        other = list(words)
+        for _ in range(k % 8):
+            other[some.randrange(len(other))] = f"x{some.randrange(40)}"
+        texts.append(" ".join(other))
+    some.shuffle(texts)
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs(*enumerate(texts))).collect()}
+    assert [found[k] for k in range(len(texts))] == brute(texts)
+
+
+def test_rows_that_differ_in_other_columns(spark):
+    """Without source or lang; one row of the least id stays, whatever its other columns."""
+    rows = [(1, "a b c d e f", 3), (1, "a b c d e f", 4), (2, "a b c d e f", 3), (1, "other words here", 5), (None, "a b c d e f", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, stars int")
+    kept = sorted(map(tuple, near_copies.one_of_each(frame).select("doc_id", "text").collect()), key=str)
+    assert kept == [(1, "a b c d e f"), (1, "other words here"), (None, "a b c d e f")]
+    assert sorted(map(str, (r["doc_id"] for r in simhash.one_of_each(frame).collect()))) == ["1", "None"]
+
+
 def test_stage_finds_copies_beyond_four_bits(spark, docs):
     """The stage searched four bits of four-word fingerprints, which keeps both of such a pair."""
     words = [f"v{k * k % 1009}" for k in range(100)]

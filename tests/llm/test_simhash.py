@@ -90,10 +90,17 @@ def test_near_duplicates_equal_brute_force(docs):
     assert run(docs(*rows)) == brute([(k, plain(t)) for k, t in rows])
 
 
-@pytest.mark.parametrize("dense", [0, 3, 10**9])
-def test_dense_cluster_of_fingerprints(spark, monkeypatch, docs, dense):
+@pytest.mark.parametrize(("radius", "n"), [(1, 10), (2, 10**4), (4, 10), (4, 10**5), (4, 10**8), (6, 10**6)])
+def test_some_segment_has_a_ball(radius, n):
+    count = simhash.best_segments(n, radius)
+    assert max(ball for _, ball in simhash.segments(count, radius)) >= 1
+
+
+@pytest.mark.parametrize(("dense", "count"), [(0, 4), (3, 3), (10**9, 2), (10**9, 4), (64, 3)])
+def test_dense_cluster_of_fingerprints(spark, monkeypatch, docs, dense, count):
     """Many fingerprints around few centres; links between them are chains as well."""
     monkeypatch.setattr(simhash, "DENSE", dense)
+    monkeypatch.setattr(simhash, "best_segments", lambda *_: count)
     made = np.random.default_rng(8)
     centres = made.integers(0, 1 << 63, 5)
     values = [int(centres[k % 5]) for k in range(400)]
