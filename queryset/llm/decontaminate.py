@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queryset.llm.scratch import free
-
 #: Bytes of words stay (A-Z lowered), others become a space.
 WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+#: Automata that a worker keeps, and texts that it holds as Python objects at a time where it keeps all.
+HELD, SLICE_ROWS = 2, 256
 #: The same words in a text that is not lower-cased yet.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -52,53 +52,74 @@ class Automaton:
         if owners:
             self.trie.make_automaton()
 
-    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set]:
-        """(first word, words) of all occurrences, and the items that occur."""
-        if self.empty or not words:
-            return np.zeros((0, 2), np.int64), set()
-        text = (b" " + b" ".join(words) + b" ").decode("latin-1")
+    def scan(self, text: str) -> tuple[np.ndarray, set]:
+        """(position of the space before its first word, words) of all occurrences in a joined text, and the items that occur."""
+        if self.empty or not text:
+            return NOTHING, set()
         ends, found = [], set()
         for end, (n, size, items) in self.trie.iter(text):
             ends.append((end - size + 1, n))
             found.update(items)
-        if not ends:
-            return np.zeros((0, 2), np.int64), found
-        at = np.array(ends, np.int64)
-        starts = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])[:-1]])
-        at[:, 0] = np.searchsorted(starts, at[:, 0])
-        return at, found
+        return (np.array(ends, np.int64) if ends else NOTHING), found
 
 
-def blocks(benchmark: DataFrame, max_bytes: int, id_col: str = "item_id", text_col: str = "text") -> list[list[tuple[str, str | None]]]:
-    """The benchmark in blocks of at most ``max_bytes`` of text (one item may be larger).
+NOTHING = np.zeros((0, 2), np.int64)
 
-    A benchmark is a stated set of questions and answers; it streams to the driver
-    block by block, and each block's size bounds one automaton and one broadcast.
-    """
-    out, size = [[]], 0
+
+def blocks(benchmark: DataFrame, max_bytes: int, id_col: str = "item_id", text_col: str = "text"):
+    """The benchmark in blocks of at most ``max_bytes`` of text (one item may be larger), one after the other; one block at least."""
+    out, size = [], 0
     for row in benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).toLocalIterator():
         n = len((row[1] or "").encode("utf-8", "surrogatepass"))
-        if out[-1] and size + n > max_bytes:
-            out.append([])
-            size = 0
-        out[-1].append((str(row[0]) if row[0] is not None else "", row[1]))
+        if out and size + n > max_bytes:
+            yield out
+            out, size = [], 0
+        out.append((str(row[0]) if row[0] is not None else "", row[1]))
         size += n
-    return out
+    yield out
 
 
 class Shared:
-    """A block of items as a broadcast; each Python worker builds its automaton once, and keeps that of one block."""
+    """The benchmark as broadcasts of a block each. The driver holds one block at a time; a Python worker builds automata as it needs them and keeps HELD."""
 
     built: dict = {}
 
-    def __init__(self, spark, items: list[tuple[str, str | None]]):
-        self.items, self.name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
-
-    def automaton(self, size: int) -> Automaton:
-        if (self.name, size) not in Shared.built:
-            Shared.built.clear()
-            Shared.built[self.name, size] = Automaton(self.items.value, size)
-        return Shared.built[self.name, size]
+    def __init__(self, benchmark: DataFrame, max_bytes: int):
+        context = benchmark.sparkSession.sparkContext
+        self.parts = [(uuid.uuid4().hex, context.broadcast(items)) for items in blocks(benchmark, max_bytes)]
+
+    def automata(self, size: int):
+        own = {(name, size) for name, _ in self.parts}
+        for other in [k for k in Shared.built if k not in own]:
+            del Shared.built[other]
+        for name, items in self.parts:
+            automaton = Shared.built.get((name, size)) or Automaton(items.value, size)
+            if len(Shared.built) < HELD:
+                Shared.built[name, size] = automaton
+            yield automaton
+
+    def scan(self, column, size: int):
+        """For each text of an Arrow column: (text, number of words, (first word, words) of all occurrences, items that occur)."""
+        step = SLICE_ROWS if len(self.parts) <= HELD else len(column)  # automata that are not kept are built once for a batch
+        for at in range(0, len(column), max(1, step)):
+            texts = [x.as_py() for x in column[at : at + step]]
+            joined, counts = [], []
+            for text in texts:
+                words = _words(text)
+                counts.append(len(words))
+                joined.append((b" " + b" ".join(words) + b" ").decode("latin-1") if words else "")
+            spans, items = [NOTHING] * len(texts), [set() for _ in texts]
+            for automaton in self.automata(size):
+                for k, text in enumerate(joined):
+                    found, occurring = automaton.scan(text)
+                    if len(found):
+                        spans[k] = np.concatenate([spans[k], found])
+                        items[k] |= occurring
+            for k, text in enumerate(joined):
+                if len(spans[k]):
+                    spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), "u1") == 0x20)
+                    spans[k][:, 0] = np.searchsorted(spaces, spans[k][:, 0])
+            yield from zip(texts, counts, spans, items)
 
 
 def _covered(spans: np.ndarray, n: int) -> np.ndarray:
@@ -114,35 +135,31 @@ def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-SCHEMA = "row_key long, text_hash string, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long,start:long,end:long>>"
+SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long,start:long,end:long>>"
 
 
-def matches(rows: DataFrame, block: Shared, size: int) -> DataFrame:
-    """For each row ``row_key, text_hash, text``: words, hit words, items that occur, and the hit runs.
+def matches(rows: DataFrame, shared: Shared, size: int) -> DataFrame:
+    """For each row ``doc_id, text``: words, hit words, items that occur, and the hit runs.
 
     A run has its first and last word (exclusive) and the character offsets of the
     original text, so that it can be cut out.
     """
 
     def run(batches):
-        automaton = block.automaton(size)
         for batch in batches:
             out = []
-            for key, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = text.as_py()
-                words = _words(text)
-                at, items = automaton.scan(words)
+            for key, (text, n, at, items) in zip(batch.column(0).to_pylist(), shared.scan(batch.column(1), size)):
                 spans, hits = [], 0
                 if len(at):
-                    runs = _runs(_covered(at, len(words)))
+                    runs = _runs(_covered(at, n))
                     hits = sum(b - a for a, b in runs)
                     places = [m.span() for m in WORD.finditer(text)]
                     spans = [{"first": a, "last": b, "start": places[a][0], "end": places[b - 1][1]} for a, b in runs]
-                out.append({"row_key": key, "text_hash": text_hash, "n_words": len(words), "n_hit": hits, "items": sorted(items), "spans": spans})
+                out.append({"doc_id": key, "n_words": n, "n_hit": hits, "items": sorted(items), "spans": spans})
             yield pa.RecordBatch.from_pylist(out, schema=_arrow)
 
     span = pa.struct([(x, pa.int64()) for x in ("first", "last", "start", "end")])
-    _arrow = pa.schema([("row_key", pa.int64()), ("text_hash", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(span))])
+    _arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(span))])
     return rows.mapInArrow(run, SCHEMA)
 
 
@@ -158,70 +175,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, percent
     items have no windows; an empty benchmark hits nothing; repeated rows each keep
     their row; other columns are ignored.
 
-    A benchmark larger than ``max_block_bytes`` is read in several blocks, each with
-    an automaton of its own, and the hit runs of all blocks are merged by document.
+    Documents are read once and nothing is shuffled, whatever the size of the benchmark.
+    ``max_block_bytes`` limits the memory of one automaton (about 400 bytes a byte of
+    text): a larger benchmark is cut into blocks, a worker keeps the automata of HELD
+    blocks, and beyond that builds each anew for a batch of texts.
     """
-    parts = [Shared(docs.sparkSession, b) for b in blocks(benchmark, max_block_bytes)]
-    return _judged(docs, parts, size, percent, id_col, text_col).withColumnRenamed("row_key", "doc_id").drop("text_hash")
-
-
-def _text_hash(text_col: str):
-    return F.sha2(F.coalesce(text_col, F.lit("")), 256)
-
-
-def _judged(docs: DataFrame, parts: list[Shared], size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    several = len(parts) > 1
-    text_hash = _text_hash(text_col) if several else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("row_key"), text_hash.alias("text_hash"), F.col(text_col).alias("text"))
-    found = _merged(rows, parts, size) if several else matches(rows, parts[0], size)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     hit = (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent)
-    return found.withColumn("contaminated", hit)
-
-
-def _merged(rows: DataFrame, parts: list, size: int) -> DataFrame:
-    """Hit runs of several blocks united. Rows of equal id and text have equal results, so they share a group."""
-    scans = [matches(rows, part, size) for part in parts]
-    found = scans[0]
-    for one in scans[1:]:
-        found = found.unionByName(one)
-    united = found.groupBy("row_key", "text_hash", "n_words").agg(F.flatten(F.collect_list("items")).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"), F.count("*").alias("n"))
-
-    def unite(done, x):
-        last = F.get(done, F.size(done) - 1)
-        joined = F.struct(last["first"].alias("first"), F.greatest(last["last"], x["last"]).alias("last"), last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
-        touches = (F.size(done) > 0) & (x["first"] <= last["last"])
-        return F.when(touches, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(x)))
-
-    spans = F.aggregate("all", F.slice("all", 1, 0), unite)
-    out = united.withColumn("spans", spans).withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"]))
-    out = out.withColumn("items", F.array_sort(F.array_distinct("items")))
-    copies = F.explode(F.sequence(F.lit(1), (F.col("n") / len(parts)).cast("int"))).alias("copy")
-    return out.select("row_key", "text_hash", "n_words", "n_hit", "items", "spans", copies).drop("copy")
+    return matches(rows, Shared(benchmark, max_block_bytes), size).withColumn("contaminated", hit)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 13, percent: int = 5, max_block_bytes: int = 512 << 10) -> DataFrame:
     """The documents that are not contaminated, rows and columns as they came.
 
-    With one block the verdict is computed beside the row and nothing is joined back.
+    The verdict is computed beside the row and nothing is joined back. Null and empty
+    texts, repeated rows and an empty benchmark are as in ``contamination``: such rows
+    stay. An empty table gives no rows.
     """
-    found = blocks(benchmark, max_block_bytes)
-    if len(found) > 1:
-        parts = [Shared(docs.sparkSession, b) for b in found]
-        key, text_hash = free(docs, "_key"), free(docs, "_hash")
-        bad = _judged(docs, parts, size, percent, "doc_id", "text").where("contaminated")
-        bad = bad.select(F.col("row_key").alias(key), F.col("text_hash").alias(text_hash)).distinct()
-        return docs.join(bad, docs["doc_id"].eqNullSafe(bad[key]) & (_text_hash("text") == bad[text_hash]), "left_anti")
-    block, at = Shared(docs.sparkSession, found[0]), docs.columns.index("text")
+    shared, at = Shared(benchmark, max_block_bytes), docs.columns.index("text")
 
     def run(batches):
-        automaton = block.automaton(size)
-
-        def contaminated(text: str | None) -> bool:
-            words = _words(text)
-            spans, _ = automaton.scan(words)
-            return bool(len(spans)) and 100 * int(_covered(spans, len(words)).sum()) >= percent * len(words)
-
         for batch in batches:
-            yield batch.filter(pa.array([not contaminated(x.as_py()) for x in batch.column(at)], pa.bool_()))
+            kept = [not len(spans) or 100 * int(_covered(spans, n).sum()) < percent * n for _, n, spans, _ in shared.scan(batch.column(at), size)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

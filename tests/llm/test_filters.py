@@ -57,6 +57,21 @@ def test_contamination_of_odd_rows(spark, odd, empty):
     assert decontaminate.clean_documents(odd, bench).count() == odd.count() - 3
 
 
+def test_a_benchmark_of_many_blocks_reads_documents_once(spark, docs):
+    """Four blocks, of which a worker keeps two: one pass, no shuffle, and the driver streams the benchmark."""
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(8)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontaminate.Shared(bench, 250).parts) == 4
+    frame = docs(*((k, "some words before " + items[k % 8][1] + (" and after" if k % 3 else " tail " * 900)) for k in range(40)), (99, None))
+    found = decontaminate.contamination(frame, bench, 13, 5, 250)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    whole = decontaminate.contamination(frame, bench, 13, 5)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    assert found.where("n_hit = 20").count() == 40 and found.where("contaminated").count() == 26
+    assert "Exchange" not in decontaminate.clean_documents(frame, bench, 13, 5, 250)._jdf.queryExecution().executedPlan().toString()
+
+
 # Quality rules
 
 
