@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queryset.domain import context
-from queryset.functions.expr import Array, Expr, array, coalesce, column, cond, constant, make_date, map_of, new_guid, record
+from queryset.functions.expr import Array, Expr, array, coalesce, column, cond, constant, guid, make_date, map_of, new_guid, record
 from queryset.operators.rows import prop, type_is
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,8 +122,7 @@ def _(ctx):
 
 @register("client_projection", "SELECT n_nationkey AS key, '#' || n_nationkey || ': ' || r_name AS text FROM nation JOIN region ON n_regionkey = r_regionkey")
 def _(ctx):
-    rows = ctx.nation.select_client(lambda key, region: (key, f"#{key}: {region}"), lambda n: n.n_nationkey, lambda n: n.region.r_name)
-    return ctx.spark.createDataFrame(rows, "key int, text string")
+    return ctx.nation.select_client_rows("key int, text string", lambda key, region: (key, f"#{key}: {region}"), lambda n: n.n_nationkey, lambda n: n.region.r_name)
 
 
 @register("nav_reference_projection", "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -770,6 +769,19 @@ def _(ctx):
     return ctx.nation.select(lambda n: record(n_nationkey=n.n_nationkey, size=new_guid().length()))
 
 
+@register(
+    "guid_parse",
+    """SELECT n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE g END AS parsed, n_nationkey % 5 <> 0 AS valid, n_nationkey % 5 <> 0 AND g < '80000000-0000-0000-0000-000000000000' AS low
+    FROM (SELECT n_nationkey, substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21, 12) AS g FROM (SELECT n_nationkey, md5(n_name) AS m FROM nation))""",
+)
+def _(ctx):
+    """Texts of several forms: bare digits in upper case, in braces, and such as are none."""
+    digits = lambda n: Expr(F.upper(F.md5(column(n.n_name))))
+    text = lambda n: cond(n.n_nationkey % 5 == 0, "not a guid", cond(n.n_nationkey % 2 == 0, digits(n), Expr(F.concat(F.lit("{"), column(guid(digits(n))), F.lit("}")))))
+    low = guid(constant("80000000000000000000000000000000"))
+    return ctx.nation.let(g=lambda n: guid(text(n))).select(lambda t: record(n_nationkey=t.row.n_nationkey, parsed=t.g, valid=t.g != None, low=coalesce(t.g < low, False)))  # noqa: E711
+
+
 @register("enum_functions", "SELECT o_orderkey, flag, (flag & 5) <> 0 AS hit FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 4 END AS flag FROM orders)")
 def _(ctx):
     flag = lambda o: cond(o.o_orderstatus == "O", 1, cond(o.o_orderstatus == "F", 2, 4))

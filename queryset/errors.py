@@ -15,3 +15,7 @@ class ConcurrencyError(Exception):
 
 class TransactionError(Exception):
     """A transaction that is unknown or has ended."""
+
+
+class CancelledError(Exception):
+    """The work was cancelled."""

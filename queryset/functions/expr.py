@@ -472,6 +472,19 @@ def make_date(year, month, day) -> Expr:
     return Expr(F.make_date(column(year), column(month), column(day)))
 
 
+#: The forms of an identifier's text: bare digits, with hyphens, and these in braces or parentheses.
+_HYPHENS = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+_GUID = rf"^(?:[0-9a-f]{{32}}|{_HYPHENS}|\{{{_HYPHENS}\}}|\({_HYPHENS}\))$"
+
+
+def guid(text) -> Expr:
+    """An identifier from its text, in the form with hyphens, which compares by value; null where the text is none."""
+    lower = F.lower(F.trim(column(text)))
+    digits = F.regexp_replace(lower, "[^0-9a-f]", "")
+    parts = [F.substring(digits, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return Expr(F.when(lower.rlike(_GUID), F.concat_ws("-", *parts)))
+
+
 def new_guid() -> Expr:
     """A random identifier; for projections only."""
     return Expr(F.uuid())

@@ -36,10 +36,32 @@ def root(context, kind: EntityType, ignore_filters: bool | list[str] = False) ->
 
 
 class Query:
-    """A frame and the shape of its rows. ``order`` is pending until something needs it."""
-
-    def __init__(self, context, df: DataFrame, shape, order: list[tuple[Column, bool]] | None = None, joined: dict | None = None, includes: dict | None = None):
-        self.context, self.df, self.shape, self.order, self.joined, self.includes = context, df, shape, order or [], joined or {}, includes or {}
+    """A frame and the shape of its rows. ``order`` and the page (rows to skip and to take) are pending until something needs them."""
+
+    def __init__(self, context, df: DataFrame, shape, order: list[tuple[Column, bool]] | None = None, joined: dict | None = None, includes: dict | None = None, page: tuple[int, int | None] = (0, None)):
+        self.context, self.all_rows, self.shape, self.order, self.joined, self.includes, self.page = context, df, shape, order or [], joined or {}, includes or {}, page
+        self._paged: DataFrame | None = None
+
+    @property
+    def df(self) -> DataFrame:
+        """The rows, of the page only. Order, offset and limit come as one, so Spark keeps the first rows of each partition and no more."""
+        if self._paged is None:
+            offset, limit = self.page
+            rows = self.all_rows
+            if self.page != (0, None):
+                rows = rows.orderBy(*_directed(self.order)) if self.order else rows
+                rows = rows.offset(offset) if offset else rows
+                rows = rows.limit(limit) if limit is not None else rows
+            self._paged = rows
+        return self._paged
+
+    def _page(self, skip: int, take: int | None) -> Query:
+        offset, limit = self.page
+        if limit is not None:
+            skip = min(skip, limit)
+            limit -= skip
+        limit = take if limit is None else limit if take is None else min(limit, take)
+        return Query(self.context, self.all_rows, self.shape, self.order, self.joined, self.includes, (offset + skip, limit))
 
     @classmethod
     def of_scalar(cls, context, df: DataFrame) -> Query:
@@ -114,10 +136,17 @@ class Query:
         shape = _shape(value, columns, "value")
         return Query(self.context, scope.df.select(*columns), shape)
 
+    def _fragments(self, fragments: tuple[Callable, ...]) -> DataFrame:
+        return self.select(lambda row: Fields(**{f"_{k}": f(row) for k, f in enumerate(fragments)})).to_df()
+
     def select_client(self, fn: Callable, *fragments: Callable) -> list:
-        """Client code in the final projection: ``fragments`` run in Spark, ``fn`` on their values as rows arrive."""
-        sent = self.select(lambda row: Fields(**{f"_{k}": f(row) for k, f in enumerate(fragments)}))
-        return [fn(*row) for row in sent.to_df().toLocalIterator()]
+        """Client code in the final projection, over a result that fits the driver: ``fragments`` run in Spark, ``fn`` on their values as rows arrive."""
+        return [fn(*row) for row in self._fragments(fragments).toLocalIterator()]
+
+    def select_client_rows(self, schema: str, fn: Callable, *fragments: Callable) -> DataFrame:
+        """The same where the rows are: ``fn`` runs in the tasks, on Arrow batches, and gives a tuple of ``schema`` by row."""
+        sent = self._fragments(fragments)
+        return sent.select(F.udf(fn, schema, useArrow=True)(*sent.columns).alias("row")).select("row.*")
 
     # Joins
 
@@ -254,16 +283,17 @@ class Query:
         return out
 
     def _sorted(self, df: DataFrame) -> DataFrame:
-        return df.orderBy(*_directed(self.order)) if self.order else df
+        sorted_already = self.page != (0, None) and df is self._paged
+        return df.orderBy(*_directed(self.order)) if self.order and not sorted_already else df
 
     def skip(self, n: int) -> Query:
-        return self.with_frame(self._sorted(self.df).offset(n))
+        return self._page(n, None)
 
     def take(self, n) -> Query:
         """The first n rows; n may be a query of one number, which is evaluated first."""
         if isinstance(n, Query):
             n = n.to_df().first()[0]
-        return self.with_frame(self._sorted(self.df).limit(n))
+        return self._page(0, n)
 
     # Single rows
 

@@ -48,10 +48,14 @@ def entity_frame(df: DataFrame, kind: EntityType) -> tuple[DataFrame, Entity]:
 
 
 class Scope:
-    """The frame that a lambda's navigations join to; references are joined once."""
+    """The frame that a lambda's navigations join to; references are joined once.
 
-    def __init__(self, context, df: DataFrame, joined: dict | None = None):
-        self.context, self.df, self.joined = context, df, dict(joined or {})
+    ``every_row``: references never lose or repeat a row, whatever keys dangle or repeat;
+    for writes, which rewrite what the frame holds.
+    """
+
+    def __init__(self, context, df: DataFrame, joined: dict | None = None, every_row: bool = False):
+        self.context, self.df, self.joined, self.every_row = context, df, dict(joined or {}), every_row
 
     def bind(self, shape):
         if isinstance(shape, Entity):
@@ -68,8 +72,9 @@ class Scope:
             other = target.shape
             keys = target.shape.type.key
             on = [F.col(shape.prefix + a) == F.col(other.prefix + b) for a, b in zip(nav.columns, keys, strict=True)]
-            inner = nav.required and not shape.optional and not other.type.filters
-            self.df = self.df.join(target.df, on, "inner" if inner else "left")
+            inner = nav.required and not shape.optional and not other.type.filters and not self.every_row
+            rows = target.df.dropDuplicates([other.prefix + k for k in keys]) if self.every_row else target.df
+            self.df = self.df.join(rows, on, "inner" if inner else "left")
             self.joined[at] = Entity(other.type, other.prefix, other.columns, not inner)
         return self.joined[at]
 

@@ -26,6 +26,11 @@ def execute_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", "o_totalprice")
 
 
+def execute_delete_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = deleted(context(spark, sf_dir), "orders", lambda o: o.customer.nation.n_name == "NATION_3")
+    return rows.select("o_orderkey", "o_custkey")
+
+
 def apply_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = spark.read.parquet(f"{sf_dir}/nation.parquet")
     inserts = spark.createDataFrame([(25, "NEW_A", 0), (26, "NEW_B", 1)], base.schema)
@@ -42,7 +47,7 @@ def concurrency_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (execute_update, execute_update_join, execute_delete, apply_change_set, concurrency_conflicts)}
+    return {f.__name__: f for f in (execute_update, execute_update_join, execute_delete, execute_delete_join, apply_change_set, concurrency_conflicts)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -50,7 +55,9 @@ def oracle_sql() -> dict[str, str]:
         "execute_update": """SELECT o_orderkey, round(CASE WHEN o_totalprice > 200000 THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS o_totalprice,
             CASE WHEN o_totalprice > 200000 THEN lower(o_orderpriority) ELSE o_orderpriority END AS o_orderpriority FROM orders""",
         "execute_update_join": """SELECT o_orderkey, CASE WHEN n_name = 'NATION_3' THEN c_mktsegment ELSE o_orderstatus END AS o_orderstatus
-            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+            FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
+        "execute_delete_join": """SELECT o_orderkey, o_custkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+            WHERE NOT coalesce(n_name = 'NATION_3', false)""",
         "execute_delete": "SELECT o_orderkey, o_totalprice FROM orders WHERE NOT coalesce(o_totalprice < 100000, false)",
         "apply_change_set": """SELECT n_nationkey, CASE n_nationkey WHEN 3 THEN 'RENAMED' ELSE n_name END AS n_name, CASE n_nationkey WHEN 4 THEN NULL ELSE n_regionkey END AS n_regionkey
             FROM nation WHERE n_nationkey NOT IN (7, 8) UNION ALL VALUES (25, 'NEW_A', 0), (26, 'NEW_B', 1)""",

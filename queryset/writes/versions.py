@@ -1,23 +1,25 @@
 """Versioned tables and transactions by copy-on-write.
 
 A table's rows are never changed in place: a write makes a new folder of Parquet files,
-and a commit appends one row by table to the log, which readers take the latest entry
-from. Source tables stay as they are. All files are written by Spark, on any file system
-that it reaches.
+and a commit adds one file to the log, named by its number, which readers take the latest
+entry of each table from. The file appears at once and only if no other commit has its
+number. Source tables stay as they are. All tables are written by Spark, on any file
+system that it reaches.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from queryset.errors import ConcurrencyError, TransactionError, TranslationError
 from queryset.functions.expr import column
-from queryset.operators.query import Query
-from queryset.operators.rows import Entity
+from queryset.operators.rows import Entity, EntityRow, Scope, entity_frame
 from queryset.sources.context import Context
 from queryset.sources.model import Model
 
@@ -30,20 +32,42 @@ class Versions:
     def __init__(self, spark: SparkSession, folder: str, source: str, model: Model):
         self.spark, self.folder, self.source, self.model = spark, folder.rstrip("/"), source.rstrip("/"), model
         self.open: dict[str, Transaction] = {}
-        if not self._has_log():
-            spark.createDataFrame([], LOG).write.mode("append").parquet(f"{self.folder}/_log")
-
-    def _has_log(self) -> bool:
+        self.publish(0, {})
+
+    def publish(self, commit: int, paths: dict[str, str]) -> bool:
+        """Add a commit to the log as a whole; False if there is one of this number."""
+        text = "".join(json.dumps({"commit": commit, "table_name": t, "path": p}) + "\n" for t, p in sorted(paths.items()))
+        made, final = f"{self.folder}/_log/.{uuid.uuid4().hex}", f"{self.folder}/_log/{commit:020d}.json"
+        if "://" not in self.folder.replace("file://", ""):
+            made, final = (p.replace("file://", "") for p in (made, final))
+            os.makedirs(os.path.dirname(made), exist_ok=True)
+            with open(made, "w", encoding="utf-8") as out:
+                out.write(text)
+            try:
+                os.link(made, final)  # fails where there is such a file
+            except FileExistsError:
+                return False
+            finally:
+                os.unlink(made)
+            return True
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        fs = jvm.org.apache.hadoop.fs
+        made, final = fs.Path(made), fs.Path(final)
+        store = made.getFileSystem(conf)
+        out = store.create(made, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
         try:
-            self.spark.read.schema(LOG).parquet(f"{self.folder}/_log").limit(1).count()
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
+            fs.FileContext.getFileContext(final.toUri(), conf).rename(made, final, self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 0))
+        except Exception as failed:
+            store.delete(made, False)
+            if "FileAlreadyExists" not in str(failed):
                 raise
             return False
         return True
 
     def _log(self) -> DataFrame:
-        return self.spark.read.schema(LOG).parquet(f"{self.folder}/_log")
+        return self.spark.read.schema(LOG).json(f"{self.folder}/_log")
 
     def paths(self) -> tuple[int, dict[str, str]]:
         """The last commit, and the path of each table that has versions."""
@@ -124,18 +148,22 @@ class Transaction:
         del self._points[self._point(name) :]
 
     def commit(self) -> None:
-        """Ends the transaction; ending twice does nothing. Fails if another commit wrote one of the tables since the start."""
+        """Ends the transaction; ending twice does nothing. Fails if another commit wrote one of the tables since the start.
+
+        Of commits at the same time one gets the next number; the others look again at
+        what it wrote, and fail or try the number after it.
+        """
         if self.owner or self.token not in self.versions.open:
             return
-        last, now = self.versions.paths()
-        moved = [t for t in self.staged if now.get(t) != self.seen.get(t)]
-        if moved:
-            self.rollback()
-            raise ConcurrencyError(f"another commit wrote {', '.join(sorted(moved))}")
+        while self.staged:
+            last, now = self.versions.paths()
+            moved = [t for t in self.staged if now.get(t) != self.seen.get(t)]
+            if moved:
+                self.rollback()
+                raise ConcurrencyError(f"another commit wrote {', '.join(sorted(moved))}")
+            if self.versions.publish(last + 1, self.staged):
+                break
         del self.versions.open[self.token]
-        if self.staged:
-            rows = [(last + 1, name, path) for name, path in sorted(self.staged.items())]
-            self.versions.spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(f"{self.versions.folder}/_log")
 
     def rollback(self) -> None:
         if not self.owner:
@@ -149,58 +177,69 @@ class Transaction:
         self.rollback() if kind else self.commit()
 
 
-def _entity(query: Query) -> Entity:
-    if not isinstance(query.shape, Entity) or query.order:
-        raise TranslationError("bulk writes need unordered rows of one entity type")
-    return query.shape
-
+def _target(context: Context, name: str, where: Callable | None) -> tuple[Scope, Entity, EntityRow, Column]:
+    """All rows of the table of an entity type, and which of them a write is for.
 
-def updated(context: Context, name: str, where: Callable | None, setters: dict[str, Callable]) -> tuple[DataFrame, DataFrame]:
+    That are rows of a derived type and such as the type's filters admit. References are
+    followed without losing or repeating a row; a condition that is null is false.
+    """
+    kind = context.model[name]
+    if kind.defining is not None:
+        raise TranslationError(f"{name} has no table to write")
+    df, shape = entity_frame(context.table(kind.table), kind)
+    scope = Scope(context, df, every_row=True)
+    row, found = scope.bind(shape), F.lit(True)
+    tests = [*kind.filters.values(), *([where] if where else [])]
+    if kind.base:
+        found = F.col(shape.prefix + kind.discriminator[0]).eqNullSafe(kind.discriminator[1])
+    for test in tests:
+        found = found & F.coalesce(column(test(row)), F.lit(False))
+    return scope, shape, row, found
+
+
+def updated(context: Context, name: str, where: Callable | None, setters: dict[str, Callable], seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """(all rows of the table after the update, the number of rows it changes as one row ``n``).
 
-    Conditions and values may follow references: those joins keep every row once. A
-    condition that is null is false.
+    Conditions and values may follow references, whose keys may dangle: every row stays
+    once, and what is read through a key without a row is null. ``seen`` observes ``n``
+    while the rows are written, instead of a second pass.
     """
-    query = context.set(name, ignore_filters=True)
-    shape = _entity(query)
     if not setters:
         raise TranslationError("an update sets at least one column")
+    scope, shape, row, test = _target(context, name, where)
     unknown = [c for c in setters if c not in shape.columns]
     if unknown:
         raise TranslationError(f"{name} has no column {', '.join(unknown)}")
-    scope = query._scope()
-    row = scope.bind(shape)
-    test = F.coalesce(column(where(row)), F.lit(False)) if where else F.lit(True)
     values = {c: column(fn(row) if callable(fn) else fn) for c, fn in setters.items()}
     old = {c: F.col(shape.prefix + c) for c in shape.columns}
     kinds = {c: scope.df.schema[shape.prefix + c].dataType for c in shape.columns}
     out = [F.when(test, values[c].cast(kinds[c])).otherwise(old[c]).alias(c) if c in values else old[c].alias(c) for c in shape.columns]
-    return scope.df.select(*out), scope.df.where(test).agg(F.count("*").alias("n"))
+    rows = scope.df.observe(seen, F.count_if(test).alias("n")) if seen else scope.df
+    return rows.select(*out), scope.df.where(test).agg(F.count("*").alias("n"))
 
 
-def deleted(context: Context, name: str, where: Callable | None) -> tuple[DataFrame, DataFrame]:
-    """(the rows that stay, the number of rows that go). Rows where the condition is null stay."""
-    query = context.set(name, ignore_filters=True)
-    shape = _entity(query)
-    scope = query._scope()
-    test = F.coalesce(column(where(scope.bind(shape))), F.lit(False)) if where else F.lit(True)
-    stay = scope.df.where(~test).select(*(F.col(shape.prefix + c).alias(c) for c in shape.columns))
+def deleted(context: Context, name: str, where: Callable | None, seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the rows that stay, the number of rows that go as one row ``n``). Rows where the condition is null stay."""
+    scope, shape, _, test = _target(context, name, where)
+    rows = scope.df.observe(seen, F.count_if(test).alias("n")) if seen else scope.df
+    stay = rows.where(~test).select(*(F.col(shape.prefix + c).alias(c) for c in shape.columns))
     return stay, scope.df.where(test).agg(F.count("*").alias("n"))
 
 
 def execute_update(tx: Transaction, name: str, where: Callable | None, **setters: Callable) -> int:
-    """Update a table within a transaction; the number of rows changed."""
-    rows, n = updated(tx.context(), name, where, setters)
-    count = n.first()["n"]
+    """Update a table within a transaction, in one pass; the number of rows changed."""
+    seen = Observation()
+    rows, _ = updated(tx.context(), name, where, setters, seen)
     tx.write(tx.versions.model[name].table, rows)
-    return count
+    return seen.get["n"]
 
 
 def execute_delete(tx: Transaction, name: str, where: Callable | None) -> int:
-    rows, n = deleted(tx.context(), name, where)
-    count = n.first()["n"]
+    """Delete rows of a table within a transaction, in one pass; the number of rows that went."""
+    seen = Observation()
+    rows, _ = deleted(tx.context(), name, where, seen)
     tx.write(tx.versions.model[name].table, rows)
-    return count
+    return seen.get["n"]
 
 
 def conflicts(base: DataFrame, originals: DataFrame, key: list[str], token: str) -> DataFrame:
@@ -245,6 +284,9 @@ class UnitOfWork:
         self.added: dict[str, list[dict]] = {}
         self.modified: dict[str, list[tuple[tuple, dict, object]]] = {}
         self.removed: dict[str, list[tuple[tuple, object]]] = {}
+        self.nested: dict[str, list[tuple[tuple, str, tuple, object]]] = {}
+        self.original: dict[tuple[str, tuple], object] = {}
+        self.steps: list[tuple[str, str]] = []  # what the last save did, in order
         self.keys: dict[tuple[str, int], int] = {}
         self._next = 0
 
@@ -258,12 +300,19 @@ class UnitOfWork:
     def modify(self, entity: str, key, original_token=None, **changes) -> None:
         self.modified.setdefault(entity, []).append((key if isinstance(key, tuple) else (key,), changes, original_token))
 
+    def modify_document(self, entity: str, key, column_name: str, path: tuple, value, original_token=None) -> None:
+        """Set one value inside a nested column: ``path`` holds field names and ordinals of lists. Siblings keep what is stored."""
+        at = key if isinstance(key, tuple) else (key,)
+        self.nested.setdefault(entity, []).append((at, column_name, tuple(path), value))
+        if original_token is not None:
+            self.original[entity, at] = original_token
+
     def remove(self, entity: str, key, original_token=None) -> None:
         self.removed.setdefault(entity, []).append((key if isinstance(key, tuple) else (key,), original_token))
 
     def _order(self) -> list[str]:
         """Entity types, referenced ones first."""
-        names, done = {*self.added, *self.modified, *self.removed}, []
+        names, done = {*self.added, *self.modified, *self.removed, *self.nested}, []
 
         def visit(name: str, path: tuple[str, ...] = ()) -> None:
             if name in done or name in path:
@@ -299,27 +348,56 @@ class UnitOfWork:
         return counts
 
     def _save(self, tx: Transaction) -> dict[str, int]:
-        spark, counts = self.versions.spark, {}
-        for name in self._order():
-            kind = self.versions.model[name]
-            base, key = tx.table(kind.table), list(kind.key)
-            types = {c: base.schema[c].dataType.simpleString() for c in base.columns}
-            self._give_keys(name, base, key)
-            self._check_tokens(name, base, key, types)
-            inserts = updates = deletes = None
+        """Deletes of all types first, dependents before what they refer to; then the other changes, principals first."""
+        spark, order = self.versions.spark, self._order()
+        self.steps = []
+        tables: dict[str, DataFrame] = {}
+        kinds = {name: self.versions.model[name] for name in order}
+        types: dict[str, dict[str, str]] = {}
+        for name, kind in kinds.items():
+            tables[kind.table] = tables.get(kind.table) or tx.table(kind.table)
+            types[name] = {f.name: f.dataType.simpleString() for f in tables[kind.table].schema.fields}
+            self._documents(name, tables[kind.table], kind.key)
+        for name in order:
+            self._check_tokens(name, tables[kinds[name].table], list(kinds[name].key), types[name])
+        for name in reversed(order):
             if name in self.removed:
-                deletes = spark.createDataFrame([tuple(map(self._real, k)) for k, _ in self.removed[name]], ", ".join(f"{k} {types[k]}" for k in key))
+                kind = kinds[name]
+                gone = spark.createDataFrame([tuple(map(self._real, k)) for k, _ in self.removed[name]], ", ".join(f"`{k}` {types[name][k]}" for k in kind.key))
+                tables[kind.table] = applied(tables[kind.table], list(kind.key), deletes=gone)
+                self.steps.append(("delete", name))
+        for name, kind in kinds.items():
+            base, key, updates, inserts = tables[kind.table], list(kind.key), None, None
+            self._give_keys(name, tx.table(kind.table), key)
             if name in self.modified:
                 columns = sorted({c for _, changes, _ in self.modified[name] for c in changes} - set(key))
                 rows = [(*map(self._real, k), sorted(changes), *(self._real(changes.get(c)) for c in columns)) for k, changes, _ in self.modified[name]]
-                schema = ", ".join([*(f"{k} {types[k]}" for k in key), "_changed array<string>", *(f"{c} {types[c]}" for c in columns)])
+                schema = ", ".join([*(f"`{k}` {types[name][k]}" for k in key), "_changed array<string>", *(f"`{c}` {types[name][c]}" for c in columns)])
                 updates = spark.createDataFrame(rows, schema)
             if name in self.added:
-                rows = [tuple(self._real(r.get(c)) for c in base.columns) for r in self.added[name]]
-                inserts = spark.createDataFrame(rows, base.schema)
-            tx.write(kind.table, applied(base, key, inserts, updates, deletes))
-            counts[name] = sum(len(d.get(name, [])) for d in (self.added, self.modified, self.removed))
-        return counts
+                inserts = spark.createDataFrame([tuple(self._real(r.get(c)) for c in base.columns) for r in self.added[name]], base.schema)
+            if updates is not None or inserts is not None:
+                tables[kind.table] = applied(base, key, inserts, updates)
+                self.steps.append(("write", name))
+        for table in dict.fromkeys(kind.table for kind in kinds.values()):
+            tx.write(table, tables[table])
+        return {name: sum(len(d.get(name, [])) for d in (self.added, self.modified, self.removed)) for name in order}
+
+    def _documents(self, name: str, base: DataFrame, key: tuple[str, ...]) -> None:
+        """Changes inside nested documents become changes of the whole column: the stored document with its siblings, one value replaced."""
+        for at, column_name, path, value in self.nested.pop(name, []):
+            changes = next((c for k, c, _ in self.modified.get(name, []) if k == at and column_name in c), None)
+            if changes is None:
+                found = base.where(" AND ".join(f"`{k}` <=> {_literal(v)}" for k, v in zip(key, at))).select(column_name).first()
+                if found is None:
+                    raise ConcurrencyError(f"{name} has no row {at} to change")
+                changes = {column_name: found.asDict(recursive=True)[column_name]}
+                self.modified.setdefault(name, []).append((at, changes, self.original.get((name, at))))
+            inside = changes[column_name]
+            for step in path[:-1]:
+                inside = _inside(name, inside, step)
+            _inside(name, inside, path[-1])
+            inside[path[-1]] = value
 
     def _give_keys(self, name: str, base: DataFrame, key: list[str]) -> None:
         wanted = [r[key[0]] for r in self.added.get(name, []) if key and isinstance(r.get(key[0]), Placeholder) and r[key[0]].entity == name]
@@ -340,6 +418,19 @@ class UnitOfWork:
             raise ConcurrencyError(f"{name}: rows changed since they were read: {[tuple(r) for r in stale]}")
 
 
+def _literal(value) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
+def _inside(name: str, document, step):
+    """What a document holds at a field or an ordinal that exists."""
+    if isinstance(step, str) and isinstance(document, dict) and step in document:
+        return document[step]
+    if isinstance(step, int) and isinstance(document, list) and 0 <= step < len(document):
+        return document[step]
+    raise TranslationError(f"a document of {name} has nothing at {step!r}")
+
+
 class Placeholder:
     """A key that saving will give."""
 

@@ -190,3 +190,58 @@ def test_integer_division_goes_toward_zero(spark):
     table = spark.createDataFrame([(7, 2), (-7, 2), (7, -2), (-7, -2)], "i int, j int")
     ctx = Context(spark, "unused", model, lambda _: table)
     assert [r[0] for r in ctx.t.select(lambda t: t.i // t.j).to_list()] == [3, -3, -3, 3]
+
+
+def test_pages_are_top_rows_of_partitions(ctx):
+    """Order, offset and limit are planned as one; no exchange takes the whole table to one task."""
+    ordered = ctx.orders.order_by(lambda o: o.o_totalprice).then_by(lambda o: o.o_orderkey)
+    for query in (ordered.skip(40).take(20), ordered.skip(10).skip(90).take(1), ordered.skip(5).take(30).skip(3)):
+        plan = query.select(lambda o: record(o_orderkey=o.o_orderkey)).to_df()._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan and "SinglePartition" not in plan
+    keys = [r[0] for r in ordered.select(lambda o: record(k=o.o_orderkey)).to_list()]
+    got = lambda q: [r["o_orderkey"] for r in q.to_list()]
+    assert got(ordered.skip(40).take(20)) == keys[40:60] and got(ordered.take(20).skip(15)) == keys[15:20]
+    assert got(ordered.skip(5).take(30).skip(3).take(4)) == keys[8:12] and got(ordered.take(3).skip(9)) == []
+    assert got(ordered.skip(len(keys) - 3)) == keys[-3:]
+    assert ordered.skip(2).take(4).count() == 4 and got(ordered.take(9).where(lambda o: o.o_orderkey == keys[8])) == [keys[8]]
+    assert got(ordered.take(9).order_by_desc(lambda o: o.o_totalprice).then_by(lambda o: o.o_orderkey).take(2)) == keys[8:6:-1]
+    assert ordered.element_at(100)["o_orderkey"] == keys[100]
+
+
+def test_cancelled_work_ends(spark):
+    import threading
+    import time
+
+    from pyspark.sql import functions as F
+
+    from queryset.errors import CancelledError
+    from queryset.operators.cancel import Cancellation
+
+    @F.udf("long", useArrow=False)
+    def slow(k):
+        time.sleep(0.5)
+        return k
+
+    token, start = Cancellation(spark), time.monotonic()
+    threading.Timer(2, token.cancel).start()
+    with pytest.raises(CancelledError):
+        token.run(lambda: spark.range(80).select(slow("id")).collect())
+    assert time.monotonic() - start < 9
+    with pytest.raises(CancelledError):
+        token.run(lambda: 1)
+    assert Cancellation(spark).run(lambda: spark.range(3).count()) == 3
+    with pytest.raises(ZeroDivisionError):
+        Cancellation(spark).run(lambda: 1 // 0)
+
+
+def test_client_code_runs_where_the_rows_are(ctx):
+    rows = ctx.nation.select_client_rows("k int, t string", lambda k, r: (k, None if k == 3 else r * 2), lambda n: n.n_nationkey, lambda n: n.region.r_name)
+    assert rows.count() == 25 and rows.where("k = 3 AND t IS NULL").count() == 1
+    assert ctx.region.where(lambda r: r.r_regionkey < 0).select_client_rows("k int", lambda k: (k,), lambda r: r.r_regionkey).count() == 0
+
+
+def test_sequences_and_casts_of_queries(ctx):
+    """A query is a sequence already: results come as lists, sets and dicts of Python."""
+    names = ctx.region.select(lambda r: r.r_name)
+    assert len(names.to_list()) == len({r[0] for r in names.to_list()}) == 5
+    assert set(ctx.region.to_dict("r_regionkey")) == set(range(5))

@@ -49,3 +49,15 @@ def test_stale_rows_and_keys_are_refused(versions):  # noqa: F811
     with pytest.raises(TranslationError):
         first.save()
     assert rows(versions, "widgets") == [(1, "a", 2)]
+
+
+def test_a_nested_value_without_its_owner_is_not_tracked(spark, tmp_path):
+    from queryset.sources.model import EntityType, Model
+    from queryset.writes.versions import Versions
+
+    spark.createDataFrame([(1, ("A",))], "Id int, Doc struct<City: string>").write.parquet(str(tmp_path / "source" / "owners.parquet"))
+    session = Session(Versions(spark, str(tmp_path / "versions"), str(tmp_path / "source"), Model(EntityType("owners", "owners", ("Id",)))))
+    with pytest.raises(TranslationError):
+        session.load(session.context.owners.select(lambda o: o.Doc))
+    (owner,) = session.load(session.context.owners)
+    assert owner.Doc == {"City": "A"}
