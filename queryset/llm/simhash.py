@@ -179,15 +179,16 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle_words: int = 4, id
     points = written(points, "points")
     stars = connected_components(_star_links(points.select("fp"), radius))
     joined = points.join(stars.withColumnRenamed("node", "fp"), "fp", "left").withColumn("cluster", F.coalesce("component", "fp")).drop("component")
-    clusters = joined.groupBy("cluster").agg(F.count("*").alias("points"), F.min("least").alias("least"))
-    clusters = written(clusters.select("cluster", "points", F.struct("least", "cluster").alias("node")), "clusters")
+    clusters = written(joined.groupBy("cluster").agg(F.count("*").alias("points"), F.min("least").alias("least")), "clusters")
     joined = written(joined, "clustered")
     links = _index_links(_with_dense(joined, clusters, DENSE), radius, best_segments(points.count(), radius))
-    for end in "ab":  # a component's label carries its least id
-        links = links.join(clusters.select(F.col("cluster").alias(end), F.col("node").alias(f"node_{end}")), end)
-    top = connected_components(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    label = clusters.join(top, "node", "left").select("cluster", "points", F.coalesce("component", "node")["least"].alias("component_id"))
-    placed = by_key(joined.select("fp", "rows", "cluster"), written(label, "labels"), "cluster", "points").select("fp", "rows", "component_id")
+    merged = connected_components(links).select(F.col("node").alias("cluster"), "component")
+    label = clusters.join(merged, "cluster", "left").withColumn("component", F.coalesce("component", "cluster"))
+    label = written(label, "labels")
+    tops = label.groupBy("component").agg(F.count("*").alias("clusters"), F.min("least").alias("component_id"))
+    label = by_key(label.select("cluster", "points", "component"), written(tops, "tops"), "component", "clusters")
+    label = written(label.select("cluster", "points", "component_id"), "least")
+    placed = by_key(joined.select("fp", "rows", "cluster"), label, "cluster", "points").select("fp", "rows", "component_id")
     found = by_key(prints, written(placed, "placed"), "fp", "rows")
     return found.select("doc_id", "fp", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
 
