@@ -166,17 +166,28 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return found.join(starts, ["part", "segment"]).select("doc_id", (F.col("seg_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
 
 
+#: Positions and segments meet in blocks of so many ids of the corpus, and the positions of a segment are asked for in groups of at most so many.
+PLACE_BLOCK, ASKED = 1 << 18, 1 << 12
+
+
 def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
     """``position, token`` for positions of the whole corpus (column ``position``), by random access.
 
-    Positions meet their segment through a range condition on the small table of starts;
-    only segments that are asked for are read, and no segment is decoded. Positions
-    outside the corpus give no row.
+    Positions meet their segment by the block of ids that both are in, so by equal keys.
+    Images of segments that nobody asks for are left behind at the read side of the join;
+    no segment is decoded. Repeated positions each give a row; null positions and such
+    outside the corpus give none; an empty table of positions gives no rows.
     """
-    wanted = positions.select(F.col("position").cast("long").alias("position")).where("position IS NOT NULL")
-    starts = segment_starts(spark, path)
-    placed = wanted.join(starts, (F.col("position") >= F.col("seg_start")) & (F.col("position") < F.col("seg_start") + F.col("n_tokens")))
-    asked = placed.groupBy("part", "segment").agg(F.collect_list(F.struct("position", (F.col("position") - F.col("seg_start")).alias("local"))).alias("asked"))
+    block = F.lit(PLACE_BLOCK)
+    wanted = positions.select(F.col("position").cast("long").alias("position")).where("position >= 0")
+    wanted = wanted.withColumn("block", F.floor(F.col("position") / block))
+    last = F.floor((F.col("seg_start") + F.col("n_tokens") - 1) / block)
+    starts = segment_starts(spark, path).where("n_tokens > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("seg_start") / block), last)))
+    placed = wanted.join(starts, "block").where("position >= seg_start AND position < seg_start + n_tokens")
+    placed = placed.select("part", "segment", "position", (F.col("position") - F.col("seg_start")).alias("local"))
+    # A segment that very many ask for goes to several tasks.
+    placed = placed.withColumn("group", F.floor(F.row_number().over(Window.partitionBy("part", "segment").orderBy("position")) / F.lit(ASKED)))
+    asked = placed.groupBy("part", "segment", "group").agg(F.collect_list(F.struct("position", "local")).alias("asked"))
     codes = spark.read.schema(SEGMENTS).parquet(path).select("part", "segment", "codes")
 
     def run(batches):

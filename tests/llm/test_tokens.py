@@ -106,3 +106,23 @@ def test_recount_of_odd_rows(spark, odd, empty):
     assert [(r["n_tokens"], r["n_edits"], r["n_tokens_edited"]) for r in found if r["doc_id"] == 4] == [(1, 2, 3)] * 2
     assert [(r["n_tokens"], r["n_tokens_edited"]) for r in found if r["doc_id"] == 1] == [(0, 0)]
     assert [r["n_tokens"] > 0 for r in found if r["doc_id"] == 5] == [True]
+
+
+def test_tokens_at_joins_by_equal_keys(spark, docs, tmp_path, monkeypatch):
+    """Segments that cross blocks, repeated and odd positions; no nested loop join."""
+    from queryset.llm import token_files, tokens
+
+    monkeypatch.setattr(token_files, "PLACE_BLOCK", 64)
+    monkeypatch.setattr(token_files, "ASKED", 8)
+    path = str(tmp_path / "tokens")
+    frame = docs(*((k, " ".join(f"word{k * j % 97}" for j in range(k % 40))) for k in range(60)))
+    token_files.write_tokens(frame, path, tokens.default_path(), segment_tokens=100)
+    ids = []
+    for r in frame.orderBy("doc_id").collect():
+        ids += [*np.frombuffer(tokens.encoder(tokens.default_path()).encode(r["text"]), "<u4").tolist(), 1]
+    wanted = [0, 0, 5, 99, 100, 101, len(ids) - 1, len(ids), -1, None, *range(200, 260)]
+    found = token_files.tokens_at(spark, path, spark.createDataFrame([(p,) for p in wanted], "position long"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    expected = sorted((p, ids[p]) for p in wanted if p is not None and 0 <= p < len(ids))
+    assert sorted(map(tuple, found.collect())) == expected
