@@ -4,7 +4,8 @@ A leaf is a run of white-space-separated words with the space after them. Every
 the last ends in white space, so words never cross leaves and the count of a document is
 the sum over its leaves. Inner nodes hold the sums of characters and tokens below them:
 an edit finds its leaves by descending, re-encodes these (and the next one, where the
-edit removed the white space between), and updates the sums above them.
+edit removed the white space between), and updates the sums above them. Spare slots
+between the leaves take those that an edit adds.
 """
 
 from __future__ import annotations
@@ -27,36 +28,58 @@ def cut(text: str) -> list[str]:
     return [m for m in LEAF.findall(text) if m]
 
 
+EMPTY = (0, 0)
+
+
 class Tree:
-    """Leaves in heap order from ``size`` on; node k has the children 2k and 2k + 1."""
+    """Slots in heap order from ``size`` on, each a leaf or empty; node k has the children 2k and 2k + 1.
+
+    A quarter of the slots at least are spare when a tree is built. More leaves than an
+    edit found are spread over the narrowest stretch around them that has room, fuller
+    stretches being allowed the narrower they are; so an edit costs the logarithm's square
+    of the leaves on average. Only a tree that is full as a whole is built anew, wider.
+    """
 
     def __init__(self, leaves: list[tuple[int, int]]):
+        self.touched = 0  # nodes summed
+        self._build(leaves)
+
+    def _build(self, leaves: list[tuple[int, int]]) -> None:
         self.count = len(leaves)
-        self.size = 1 << max(0, self.count - 1).bit_length()
-        self.nodes = [(0, 0)] * self.size + leaves + [(0, 0)] * (self.size - self.count)
-        for k in range(self.size - 1, 0, -1):
-            self._sum(k)
+        self.size = 1 << max(0, -(-4 * self.count // 3) - 1).bit_length()
+        self.nodes = [EMPTY] * (2 * self.size)
+        self._spread(0, self.size, leaves)
 
     @classmethod
     def of(cls, nodes: list[tuple[int, int]], count: int) -> Tree:
         """From stored nodes, without summing again."""
         tree = cls.__new__(cls)
-        tree.nodes, tree.size, tree.count = nodes, len(nodes) // 2, count
+        tree.nodes, tree.size, tree.count, tree.touched = nodes, len(nodes) // 2, count, 0
         return tree
 
-    def _sum(self, k: int) -> None:
-        (a, b), (c, d) = self.nodes[2 * k], self.nodes[2 * k + 1]
-        self.nodes[k] = (a + c, b + d)
+    def _spread(self, low: int, high: int, leaves: list[tuple[int, int]]) -> None:
+        """The leaves evenly over these slots, and the sums above them."""
+        slots = [EMPTY] * (high - low)
+        for k, leaf in enumerate(leaves):
+            slots[k * len(slots) // len(leaves)] = leaf
+        self.nodes[self.size + low : self.size + high] = slots
+        low, high = (self.size + low) // 2, (self.size + high - 1) // 2
+        while low:
+            for k in range(low, high + 1):
+                (a, b), (c, d) = self.nodes[2 * k], self.nodes[2 * k + 1]
+                self.nodes[k] = (a + c, b + d)
+            self.touched += high - low + 1
+            low, high = low // 2, high // 2
 
     @property
     def total(self) -> tuple[int, int]:
         return self.nodes[1]
 
-    def leaves(self) -> list[tuple[int, int]]:
-        return self.nodes[self.size : self.size + self.count]
+    def leaves(self, low: int = 0, high: int | None = None) -> list[tuple[int, int]]:
+        return [x for x in self.nodes[self.size + low : self.size + (self.size if high is None else high)] if x[0]]
 
     def find(self, offset: int) -> tuple[int, int]:
-        """The leaf that holds a character, and the characters before the leaf; the last leaf for the end of the text."""
+        """The slot that holds a character, and the characters before it; the last leaf for the end of the text."""
         k, before = 1, 0
         offset = min(offset, max(0, self.total[0] - 1))
         while k < self.size:
@@ -66,18 +89,20 @@ class Tree:
                 k += 1
         return k - self.size, before
 
-    def replace(self, first: int, last: int, new: list[tuple[int, int]]) -> Tree:
-        """Leaves first..last (exclusive) become ``new``. As many leaves: only the sums above them change."""
-        if len(new) != last - first:
-            old = self.leaves()
-            return Tree(old[:first] + new + old[last:])
-        self.nodes[self.size + first : self.size + last] = new
-        touched = {(self.size + k) // 2 for k in range(first, last)}
-        while touched and 0 not in touched:
-            for k in touched:
-                self._sum(k)
-            touched = {k // 2 for k in touched}
-        return self
+    def replace(self, first: int, last: int, new: list[tuple[int, int]]) -> None:
+        """The leaves in slots first..last (exclusive) become ``new``."""
+        self.count += len(new) - len(self.leaves(first, last))
+        width, levels = 1, max(1, self.size.bit_length() - 1)
+        low, high = first, last
+        while True:
+            before, after = self.leaves(low, first), self.leaves(last, high)
+            room = high - low
+            if len(before) + len(new) + len(after) <= room - room * (width.bit_length() - 1) // (8 * levels):
+                return self._spread(low, high, before + new + after)
+            if width >= self.size:
+                return self._build(before + new + after)
+            width *= 2
+            low, high = first // width * width, -(-last // width) * width
 
 
 def apply_edit(text: str, tree: Tree, start: int, end: int, insert: str, count) -> tuple[str, Tree, int]:
@@ -93,13 +118,14 @@ def apply_edit(text: str, tree: Tree, start: int, end: int, insert: str, count)
     upto += tree.nodes[tree.size + last][0]
     region = text[before:start] + insert + text[end:upto]
     last += 1
-    while last < tree.count and region and region[-1] not in SPACE:  # the next leaf's first word is joined to it
+    while last < tree.size and region and region[-1] not in SPACE:  # the next leaf's first word is joined to it
         size = tree.nodes[tree.size + last][0]
         region, upto, last = region + text[upto : upto + size], upto + size, last + 1
     if start == len(text) and start == end and not insert:
         return edited, tree, 0
     pieces = cut(region)
-    return edited, tree.replace(first, last, [(len(x), n) for x, n in zip(pieces, count(pieces))]), len(region)
+    tree.replace(first, last, [(len(x), n) for x, n in zip(pieces, count(pieces))])
+    return edited, tree, len(region)
 
 
 def _counter(vocabulary: str):

@@ -85,6 +85,36 @@ def test_trees_count_edited_texts():
                 assert text[at - 1] in token_counts.SPACE
 
 
+def test_an_edit_touches_few_nodes():
+    """Thousands of edits that split and merge leaves, at one place and all over: sums hold, nodes touched by edit stay below the square of the path to the root."""
+    made, count = random.Random(5), lambda texts: [len(x.split()) for x in texts]
+    for spot in (lambda n: n // 3, lambda n: made.randint(0, n)):
+        text = " ".join(f"w{k}" for k in range(64 * 1000))
+        tree = token_counts.Tree([(len(p), n) for p, n in zip(token_counts.cut(text), count(token_counts.cut(text)))])
+        size, path = tree.size, tree.size.bit_length() - 1
+        tree.touched = 0
+        for k in range(300):
+            at = spot(len(text))
+            text, tree, encoded = token_counts.apply_edit(text, tree, at, at + 600 * (k % 3 == 2), " more words" * 70 * (k % 3 != 2), count)
+            assert encoded < 4000 and tree.total == (len(text), len(text.split()))
+            assert tree.count == len(tree.leaves())
+        assert tree.size == size and tree.touched / 300 < path**2
+        tree.touched = 0
+        text, tree, _ = token_counts.apply_edit(text, tree, 0, 1, "x", count)
+        assert tree.touched <= 2 * path
+
+
+def test_a_full_tree_grows():
+    leaf, tree = (7, 1), token_counts.Tree([])
+    tree.replace(0, 1, [leaf])
+    for k in range(2, 300):
+        at, _ = tree.find(7 * (k // 2))
+        tree.replace(at, at + 1, [leaf, leaf])
+        assert tree.total == (7 * k, k) and tree.count == k <= tree.size
+    tree.replace(0, tree.size, [])
+    assert tree.total == (0, 0) and tree.leaves() == [] and tree.count == 0
+
+
 def test_recount_equals_whole_encoding_and_encodes_less(spark, docs, sf_dir):
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
     edits = frame.select("doc_id", F.lit(1).alias("seq"), (F.char_length("text") / 2).cast("int").alias("start"), (F.char_length("text") / 2 + 9).cast("int").alias("end"), F.lit("put in").alias("insert"))
