@@ -60,7 +60,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = url_filter.judged(_table(spark, sf_dir, "pages"), url_filter.RULES, lexicon_size=20_000)
+    found = url_filter.judged(_table(spark, sf_dir, "pages"), url_filter.RULES)
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -230,12 +231,64 @@ def test_viterbi_equals_all_splits():
     assert url_filter.segment("newspaper", words) == ["new", "s", "paper"] or url_filter.segment("newspaper", words) == ["news", "paper"]
 
 
-@pytest.mark.parametrize("size", [1, 3, 4, 5, 6, 99])
-def test_lexicon_holds_the_most_frequent_words(spark, size):
-    rows = [("a", 9), ("b", 5), ("c", 5), ("d", 5), ("e", 2), ("f", 2)]
-    found = url_filter.lexicon(spark.createDataFrame(rows, "word string, n long"), size)
-    assert set(found) == {w for w, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:size]}
-    assert sum(map(np.exp, found.values())) == pytest.approx(1)
+def brute_force_odds(rows):
+    """Words, splits, counts by class and log odds of (page_id, url, html) rows, without Spark or tables of substrings."""
+    words = Counter()
+    for _, _, html in rows:
+        text = re.sub(r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<[^>]*>", " ", html or "").lower()
+        words.update(w for w in re.findall("[a-z]+", text) if 2 <= len(w) <= 24)
+    total = sum(words.values())
+    model = {w: np.log(n / total) for w, n in words.items()}
+    tokens = {}
+    for key, url, _ in rows:
+        host, path = parts(url)
+        out = []
+        for run in re.findall(r"[a-z]+|[0-9]+|[^\x00-\x7F]+", host):
+            whole = run[0].isalpha() and len(run) <= 256
+            out += [("h", w) for w in (url_filter.segment(run, model) if whole else [f"#{len(run)}"])]
+        out += [("p", f"#{len(x)}" if x[0].isdigit() else x) for x in re.findall(r"[a-z]+|[0-9]+|[^\x00-\x7F]+", path.lower())]
+        tokens[key] = [url_filter.bucket(*t) for t in out]
+    seen, urls = {"allow": Counter(), "block": Counter()}, Counter()
+    for key, url, _ in rows:
+        kind = ruled(*parts(url))[1]
+        if kind:
+            seen[kind].update(tokens[key])
+            urls[kind] += 1
+    rate = lambda kind, b: np.log((seen[kind][b] + 1) / (seen[kind].total() + url_filter.BUCKETS))
+    prior = np.log((urls["block"] + 1) / (urls["allow"] + 1))
+    return {key: prior + sum(rate("block", b) - rate("allow", b) for b in found) for key, found in tokens.items()}
+
+
+def test_bayes_odds_equal_brute_force(spark, sf_dir):
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
+    last = max(r[0] for r in pages)
+    odd = URLS + ["http://a.org/fr/x", "http://newspaperhouse.com/Sport/12", "http://x1y22.io", "http://" + "ab" * 200 + ".com/", "http://日本語.jp/ü"]
+    rows = pages + [(last + 1 + k, u, None if k % 2 else "<p>new news paper house houses paper</p>") for k, u in enumerate(odd)]
+    found = {r["page_id"]: r for r in url_filter.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    expected = brute_force_odds(rows)
+    assert found.keys() == expected.keys() and len(found) == len(rows)
+    for key, odds in expected.items():
+        assert found[key]["log_odds"] == pytest.approx(odds, abs=1e-9)
+
+
+def test_names_split_by_all_words(spark):
+    """Words of any rank count, also where most names share one; a name without words stays whole up to the longest word."""
+    counts = spark.createDataFrame([("news", 10**6), ("paper", 5), ("rare", 1), ("house", 9)], "word string, n long")
+    names = [f"news{w}" for w in ("paper", "house", "rare")] + [f"news{'x' * k}" for k in range(1, 20)] + ["q", "zz", "z" * 30]
+    found = {r["name"]: r["words"] for r in url_filter.split_names(spark.createDataFrame([(n,) for n in names], "name string"), counts).collect()}
+    assert len(found) == len(names) and all("".join(w) == n for n, w in found.items())
+    assert [found[f"news{w}"] for w in ("paper", "house", "rare")] == [["news", w] for w in ("paper", "house", "rare")]
+    assert (found["q"], found["zz"], len(found["z" * 30])) == (["q"], ["zz"], 2)
+
+
+def test_held_out_verdicts(spark):
+    """Urls that rules decide, held out of the counts: 88 % as the rules say (56 % allow). It errs on /fr/ under net/ only, as weights of single tokens can't tell it from org/fr/."""
+    found = url_filter.features(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
+    weights = url_filter.naive_bayes(url_filter.class_counts(found.where("page_id % 3 <> 0")).collect())
+    held = url_filter.scored(found.where("page_id % 3 = 0 AND rule_verdict IS NOT NULL"), weights).toPandas()
+    agree = (held.log_odds > 0) == (held.rule_verdict == "block")
+    assert len(held) > 300 and agree.mean() > 0.85
+    assert agree[held.rule != "net/"].all() and held[~agree].path.str.startswith("/fr/").all()
 
 
 def test_naive_bayes_learns_from_rules(spark):
