@@ -146,9 +146,7 @@ FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id =
 
 
 def _op10_sql() -> str:
-    """The rules with the production limits; the common words are those of the operator."""
-    lists = {k: "[" + ", ".join(f"'{w}'" for w in found) + "]" for k, found in quality_rules.COMMON_WORDS.items()}
-    listed = " ".join(f"WHEN '{k}' THEN {v}" for k, v in lists.items())
+    """The rules with the production limits; the common words are those of the documents that pass the base rules."""
     without = lambda pattern: f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
     classes = ", ".join(map(without, ("[a-z]", r"[\x20\x09-\x0D]", "[A-Z]", r"[^\x00-\x7F]", "[0-9]")))
 
@@ -158,25 +156,32 @@ def _op10_sql() -> str:
         return f"CASE WHEN list_sum({p}) > 0 AND list_sum({q}) > 0 THEN sqrt(greatest(list_sum(list_transform(range(1, len({p}) + 1), lambda i: {half(a)} + {half(b)})) / 2, 0)) END"
 
     return rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE 'other' END AS language FROM documents),
-s AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, CASE language {listed} ELSE {lists["en"]} END AS listed FROM d),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS language FROM documents),
+s AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
 tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM s WHERE len(w) >= 3)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM tri) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM rep) GROUP BY doc_id),
+b AS (
+    SELECT s.*, coalesce(cov.n, 0) AS n_rep, len(w) < 50 OR 100 * coalesce(cov.n, 0) > 50 * len(w) AS base_failed
+    FROM s LEFT JOIN cov ON s.doc_id = cov.doc_id),
+cw AS (SELECT language, word, count(*) AS n FROM (SELECT language, lower(unnest(w)) AS word FROM b WHERE NOT base_failed) GROUP BY ALL),
+top AS (
+    SELECT language, list(word ORDER BY r) AS listed
+    FROM (SELECT *, row_number() OVER (PARTITION BY language ORDER BY n DESC, word) AS r FROM cw WHERE NOT regexp_matches(word, '[\x00-\x60\x7B-\x7F]'))
+    WHERE r <= 32 GROUP BY language),
 f AS (
-    SELECT s.doc_id, language, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
-        CAST({without("[#*$%&|<>]")} AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
-        list_append(cs, length(t) - list_sum(cs)) AS chars, list_append(ws, len(w) - list_sum(ws)) AS common
+    SELECT doc_id, language, base_failed, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST({without("[#*$%&|<>]")} AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(n_rep AS BIGINT) AS n_repeat_words,
+        list_append(cs, length(t) - list_sum(cs)) AS chars, list_append(ws, len(w) - coalesce(list_sum(ws), 0)) AS common
     FROM (
-        SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls, [{classes}] AS cs,
-            list_transform(listed, lambda c: len(list_filter(w, lambda x: lower(x) = c))) AS ws
-        FROM s) s LEFT JOIN cov ON s.doc_id = cov.doc_id),
-rc AS (SELECT language, list(v ORDER BY k) AS q FROM (SELECT language, k, sum(v) AS v FROM (SELECT language, unnest(chars) AS v, unnest(range(len(chars))) AS k FROM f) GROUP BY ALL) GROUP BY language),
-rw AS (SELECT language, list(v ORDER BY k) AS q FROM (SELECT language, k, sum(v) AS v FROM (SELECT language, unnest(common) AS v, unnest(range(len(common))) AS k FROM f) GROUP BY ALL) GROUP BY language),
+        SELECT b.*, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls, [{classes}] AS cs,
+            list_transform(coalesce(listed, []), lambda c: len(list_filter(w, lambda x: lower(x) = c))) AS ws
+        FROM b LEFT JOIN top ON b.language = top.language)),
+rc AS (SELECT language, list(v ORDER BY k) AS q FROM (SELECT language, k, sum(v) AS v FROM (SELECT language, unnest(chars) AS v, unnest(range(len(chars))) AS k FROM f WHERE NOT base_failed) GROUP BY ALL) GROUP BY language),
+rw AS (SELECT language, list(v ORDER BY k) AS q FROM (SELECT language, k, sum(v) AS v FROM (SELECT language, unnest(common) AS v, unnest(range(len(common))) AS k FROM f WHERE NOT base_failed) GROUP BY ALL) GROUP BY language),
 j AS (
-    SELECT f.*, CASE WHEN word_chars >= 200 THEN {distance("chars", "rc.q")} END AS cd, CASE WHEN n_words >= 100 THEN {distance("common", "rw.q")} END AS wd,
-        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
-    FROM f JOIN rc ON f.language = rc.language JOIN rw ON f.language = rw.language)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (coalesce(cd, 0) > 0.28 OR coalesce(wd, 0) > 0.27) AS kept,
+    SELECT f.*, CASE WHEN word_chars >= 200 THEN {distance("chars", "rc.q")} END AS cd, CASE WHEN n_words >= 100 THEN {distance("common", "rw.q")} END AS wd
+    FROM f LEFT JOIN rc ON f.language = rc.language LEFT JOIN rw ON f.language = rw.language)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (coalesce(cd, 0) > 0.28 OR coalesce(wd, 0) > 0.3) AS kept,
     round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM j
 """

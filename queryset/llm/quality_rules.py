@@ -1,31 +1,23 @@
 """Quality rules: base counts, and divergence from language references.
 
 Only DataFrame functions are used. A document's histogram of character classes and its
-histogram of common words are compared with the histograms of its language over the
-whole corpus by Jensen-Shannon distance (base 2, so 0 to 1). Short documents have noisy
-histograms; a minimum length guards each comparison.
+histogram of common words are compared with the histograms of its language by
+Jensen-Shannon distance (base 2, so 0 to 1). The common words and the references of a
+language come from all its documents that pass the base rules, so junk that these find
+has no say in them. Short documents have noisy histograms; a minimum length guards each
+comparison.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from queryset.llm.scratch import written
+from queryset.llm.scratch import by_key, written
 
-#: Common words by language, lower case.
-COMMON_WORDS = {
-    "en": ["the", "of", "and", "to", "in", "is", "that", "it", "on", "with", "are", "for", "was", "be", "as", "this"],
-    "fr": ["le", "la", "les", "de", "des", "et", "en", "un", "une", "que", "qui", "dans", "pour", "par", "sur", "est"],
-    "de": ["der", "die", "das", "und", "ist", "in", "zu", "den", "mit", "von", "dem", "ein", "eine", "nicht", "als", "auch"],
-    "es": ["el", "la", "los", "las", "de", "que", "y", "en", "un", "una", "por", "con", "para", "se", "no", "es"],
-}
 WORD = r"[^\x20\x09-\x0D]+"
-OTHER = "other"
-
-
-def _language(column: str) -> Column:
-    return F.when(F.col(column).isin(*COMMON_WORDS), F.col(column)).otherwise(F.lit(OTHER))
+#: A lower-case word with a character of ASCII that is no letter can't be a common word.
+NO_LETTER = r"[\x00-\x60\x7B-\x7F]"
 
 
 def _char_classes(text: Column) -> Column:
@@ -58,53 +50,68 @@ def _covered(starts: Column, width: int = 3) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda n, x: n + x)
 
 
-def _common_counts(words: Column, language: Column) -> Column:
-    """Occurrences of each common word of the document's language, then of all other words."""
-    listed = sorted({w for found in COMMON_WORDS.values() for w in found})
-    hits = F.filter(F.transform(words, F.lower), lambda w: w.isin(*listed))
-    lists = F.coalesce(*(F.when(language == k, F.array(*map(F.lit, found))) for k, found in COMMON_WORDS.items()), F.array(*map(F.lit, COMMON_WORDS["en"])))
-    return F.struct(hits.alias("hits"), lists.alias("listed"))
-
-
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Counts of every document from one pass over its text; words never leave their row."""
+    """Counts of every document, beside its language (null: the empty string) and its lower-case words joined by one space."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _language(lang_col).alias("language"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("language"), text.alias("text"))
     rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     rows = rows.select(
         "doc_id",
         "language",
+        F.lower(F.array_join("words", " ")).alias("lowered"),
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         _char_classes(F.col("text")).alias("chars"),
         _sorted_windows(F.col("words")).alias("windows"),
-        _common_counts(F.col("words"), F.col("language")).alias("common"),
     )
     rows = rows.withColumn("starts", _repeated_starts(F.col("windows")))
-    n_hits = F.size("common.hits")
-    counted = F.transform("common.listed", lambda w: (n_hits - F.size(F.array_remove(F.col("common.hits"), w))).cast("long"))
-    rows = rows.withColumn("counted", counted)
-    rest = F.col("n_words") - F.aggregate("counted", F.lit(0).cast("long"), lambda n, x: n + x)
     return rows.select(
         "doc_id",
         "language",
+        "lowered",
         "n_words",
         "word_chars",
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_covered(F.col("starts")), F.lit(0).cast("long")).alias("n_repeat_words"),
         "chars",
-        F.concat("counted", F.array(rest)).alias("common"),
     )
 
 
-def references(found: DataFrame) -> DataFrame:
-    """Summed histograms by language over all documents: a handful of rows, as languages outside COMMON_WORDS share one."""
-    n_chars, n_common = 6, 1 + max(map(len, COMMON_WORDS.values()))
-    sums = [F.sum(F.get("chars", F.lit(k))).alias(f"c{k}") for k in range(n_chars)] + [F.sum(F.get("common", F.lit(k))).alias(f"w{k}") for k in range(n_common)]
-    return found.groupBy("language").agg(*sums).select("language", F.array(*(f"c{k}" for k in range(n_chars))).alias("ref_chars"), F.array(*(f"w{k}" for k in range(n_common))).alias("ref_common"))
+def common_words(found: DataFrame, n_common: int) -> DataFrame:
+    """``language, docs, listed``: each language's ``n_common`` most frequent words of letters over all its base-passing documents.
+
+    Counts are combined before the shuffle, and each task hands on no more than
+    ``n_common`` words a language, so a language may hold any share of the corpus. Of
+    equally frequent words the least comes first. A language without such words has an
+    empty list.
+    """
+    counts = found.where(~F.col("base_failed")).select("language", F.explode(F.split("lowered", " ")).alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
+    first = Window.partitionBy("language").orderBy(F.desc("n"), "word")
+    top = counts.where((F.col("word") != "") & ~F.col("word").rlike(NO_LETTER)).withColumn("at", F.row_number().over(first)).where(F.col("at") <= n_common)
+    lists = top.groupBy("language").agg(F.sort_array(F.collect_list(F.struct("at", "word")))["word"].alias("listed"))
+    docs = found.groupBy("language").agg(F.count("*").alias("docs"))
+    return docs.join(lists, "language", "left").select("language", "docs", F.coalesce("listed", F.array().cast("array<string>")).alias("listed"))
+
+
+def with_common(found: DataFrame, lists: DataFrame) -> DataFrame:
+    """Adds ``common``: occurrences of each common word of the document's language, then of all other words. The words go."""
+    any_of = F.when(F.size("listed") > 0, F.concat(F.lit("(?<= )(?:"), F.array_join("listed", "|"), F.lit(")(?= )"))).otherwise("(?!)")
+    rows = by_key(found, lists.withColumn("any_of", any_of), "language", "docs")
+    rows = rows.withColumn("hits", F.regexp_extract_all(F.concat(F.lit(" "), "lowered", F.lit(" ")), F.col("any_of"), F.lit(0)))
+    counted = F.transform("listed", lambda w: (F.size("hits") - F.size(F.array_remove("hits", w))).cast("long"))
+    return rows.withColumn("common", F.concat(counted, F.array(F.col("n_words") - F.size("hits")))).drop("lowered", "listed", "any_of", "docs", "hits")
+
+
+def references(found: DataFrame, n_common: int) -> DataFrame:
+    """``language, docs`` and histograms summed over its base-passing documents (null if it has none)."""
+    n_chars, passed = 6, ~F.col("base_failed")
+    summed = lambda name, k: F.sum(F.when(passed, F.get(name, F.lit(k))))
+    sums = [summed("chars", k).alias(f"c{k}") for k in range(n_chars)] + [summed("common", k).alias(f"w{k}") for k in range(n_common + 1)]
+    of = lambda letter, n: F.filter(F.array(*(f"{letter}{k}" for k in range(n))), lambda x: x.isNotNull())
+    return found.groupBy("language").agg(F.count("*").alias("docs"), *sums).select("language", "docs", of("c", n_chars).alias("ref_chars"), of("w", n_common + 1).alias("ref_common"))
 
 
 def distance(p: str, q: str) -> Column:
@@ -121,22 +128,25 @@ def distance(p: str, q: str) -> Column:
     return F.when((n_p > 0) & (n_q > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
-def judged(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, max_char_distance: float = 0.28, max_word_distance: float = 0.27, min_chars: int = 200, min_common_words: int = 100) -> DataFrame:
+def judged(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, max_char_distance: float = 0.28, max_word_distance: float = 0.3, min_chars: int = 200, min_common_words: int = 100, n_common: int = 32) -> DataFrame:
     """One row per document with counts, distances, ``base_failed`` and ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_percent``
     of them inside repeated 3-word windows. ``kept``: not base_failed, and no guarded
     distance above its limit. A document with fewer than ``min_chars`` characters in words
-    (``min_common_words`` words) has no say in the first (second) comparison.
+    (``min_common_words`` words) has no say in the first (second) comparison, nor has one
+    whose language has no document that passes the base rules.
 
-    Null and empty texts have no words and fail; null or unknown languages share one
-    reference; repeated rows each keep their row and weigh in the references; other
-    columns are ignored; an empty table gives no rows.
+    Null and empty texts have no words and fail; every value of the language has its own
+    words and references, null and the empty string share them; repeated rows each keep
+    their row and weigh in the references; other columns are ignored; an empty table gives
+    no rows. Languages may be many: they are joined by key, hot ones by a bounded broadcast.
     """
-    found = written(features(docs), "rules")
-    rows = found.join(F.broadcast(references(found)), "language", "left")
+    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    found = written(features(docs).withColumn("base_failed", base), "rules")
+    found = written(with_common(found, written(common_words(found, n_common), "common")), "histograms")
+    rows = by_key(found, written(references(found, n_common), "references"), "language", "docs")
     rows = rows.withColumn("char_distance", F.when(F.col("word_chars") >= min_chars, distance("chars", "ref_chars")))
     rows = rows.withColumn("word_distance", F.when(F.col("n_words") >= min_common_words, distance("common", "ref_common")))
-    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     far = (F.coalesce("char_distance", F.lit(0.0)) > max_char_distance) | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
-    return rows.withColumn("base_failed", base).withColumn("kept", ~base & ~far).drop("chars", "common", "ref_chars", "ref_common")
+    return rows.withColumn("kept", ~F.col("base_failed") & ~far).drop("chars", "common", "docs", "ref_chars", "ref_common")

@@ -113,17 +113,55 @@ def distance(p, q):
     return np.sqrt(max((part(p) + part(q)) / 2, 0))
 
 
-def test_distances(spark, docs):
-    clean = "the of and to in is that it on with some other words here and there for all"
-    frame = docs(*((k, f"{clean} {k} " * 8) for k in range(20)), (50, "#### $$$$ %%%% **** " * 80), (51, clean))
-    feats = {r["doc_id"]: r for r in quality_rules.features(frame).collect()}
-    total = [np.sum([r[c] for r in feats.values()], axis=0) for c in ("chars", "common")]
-    found = {r["doc_id"]: r for r in quality_rules.judged(frame, max_repeat_percent=100).collect()}
-    for k in (0, 50):
-        assert found[k]["char_distance"] == pytest.approx(distance(feats[k]["chars"], total[0]))
-        assert found[k]["word_distance"] == pytest.approx(distance(feats[k]["common"], total[1]))
-    assert found[0]["kept"] and not found[50]["kept"]
-    assert found[51]["char_distance"] is None and found[51]["word_distance"] is None
+def common(rows, n):
+    """The n most frequent words of letters of (language, text) rows, by language."""
+    tally = {}
+    for language, text in rows:
+        tally.setdefault(language, Counter()).update(w.lower() for w in WORD.findall(text))
+    plain = lambda w: not re.search(r"[\x00-\x60\x7b-\x7f]", w)
+    return {k: [w for w, _ in sorted(((w, c) for w, c in found.items() if plain(w)), key=lambda x: (-x[1], x[0].encode()))[:n]] for k, found in tally.items()}
+
+
+CLASSES = [r"[a-z]", r"[\x20\x09-\x0D]", r"[A-Z]", r"[^\x00-\x7F]", r"[0-9]"]
+
+
+def histograms(text, words):
+    chars = [len(re.findall(c, text)) for c in CLASSES]
+    found = [w.lower() for w in WORD.findall(text)]
+    hits = [found.count(w) for w in words]
+    return [*chars, len(text) - sum(chars)], [*hits, len(found) - sum(hits)]
+
+
+@pytest.mark.parametrize("n", [1, 5, 32])
+def test_distances(spark, docs, n):
+    """Words and references by language from base-passing documents only; ties in the order of the words."""
+    made = np.random.default_rng(n)
+    vocabulary = {"en": ["the", "of", "The", "and", "an", "a", "x9", "été"], "fr": ["le", "la", "été", "l'", "de", "|"], None: ["b", "a", "c"], "": ["a", "d"]}
+    rows = [(k, " ".join(f"{made.choice(vocabulary[lang])} w{made.integers(10**6)}" for _ in range(size // 2)), lang) for k, (lang, size) in enumerate((lang, size) for lang in vocabulary for size in (60, 120, 300, 300))]
+    rows += [(50, "#### $$$$ %%%% **** " * 80, "en"), (51, "junk only " * 200, "xx"), (52, "#%#% ab " * 60 + " ".join(str(k) for k in range(200)), "en"), (53, None, "fr")]
+    found = {r["doc_id"]: r for r in quality_rules.judged(docs(*((k, t, lang, "s") for k, t, lang in rows)), n_common=n).collect()}
+    passed = [(lang or "", t) for k, t, lang in rows if not found[k]["base_failed"]]
+    assert {50, 51, 53} == {k for k, r in found.items() if r["base_failed"]}
+    words = common(passed, n)
+    totals = {lang: [np.sum(x, axis=0) for x in zip(*(histograms(t, words[lang]) for at, t in passed if at == lang))] for lang in words}
+    for k, text, lang in rows:
+        r, lang, text = found[k], lang or "", text or ""
+        if lang not in words:
+            assert r["char_distance"] is None and r["word_distance"] is None
+            continue
+        mine = histograms(text, words[lang])
+        for value, guard, p, q in [(r["char_distance"], r["word_chars"] >= 200, mine[0], totals[lang][0]), (r["word_distance"], r["n_words"] >= 100, mine[1], totals[lang][1])]:
+            assert value == (pytest.approx(distance(p, q), abs=1e-9) if guard else None)
+        assert r["kept"] == (not r["base_failed"] and (r["char_distance"] or 0) <= 0.28 and (r["word_distance"] or 0) <= 0.3)
+
+
+def test_rules_leave_clean_documents_and_find_junk(spark, sf_dir):
+    """Rated documents: rules see neither the rating nor a word list."""
+    rated = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 0")
+    rows = quality_rules.judged(spark.read.parquet(f"{sf_dir}/documents.parquet")).join(rated, "doc_id").select("quality", "base_failed", "kept").collect()
+    clean = [r["kept"] for r in rows if r["quality"] == 1 and not r["base_failed"]]
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(clean) >= 0.98 * len(clean) and sum(junk) <= 0.1 * len(junk)
 
 
 def test_rules_of_odd_rows(odd, empty):
